@@ -81,8 +81,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.substring_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op5_token_counts, op6_quality, op7_language_model, op8_secrets, op9_packing)}
+    return {f.__name__: f for f in (op2_bpe, op5_token_counts, op6_quality, op7_language_model, op8_secrets, op9_packing, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -32,7 +32,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE_MIN = 16
 CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE_MIN
 #: Mean log-likelihood ratio of a transition (natural log) above which a candidate is a secret.
-RATIO = 0.0
+RATIO = 0.05
 
 #: Ordinary identifiers that every training starts from, beside those of the corpus.
 IDENTIFIERS = """
