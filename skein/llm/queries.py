@@ -34,6 +34,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skein.llm.token_counts import count_tokens
 
@@ -88,7 +94,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op5_token_counts, op6_quality, op7_language_model, op8_secrets, op9_packing, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op2_bpe, op3_minhash, op5_token_counts, op6_quality, op7_language_model, op8_secrets, op9_packing, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
