@@ -28,6 +28,12 @@ def crc_mod(col: str, m: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % m
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skein.llm.bpe import encode_digests
 
@@ -40,6 +46,12 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skein.llm.token_counts import count_tokens
 
@@ -88,13 +100,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from skein.llm.substring_dedup import dedup
+    from skein.llm.substring_dedup import digests
 
-    return dedup(table(spark, sf_dir, "documents"), keep_text=False)
+    return digests(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op3_minhash, op5_token_counts, op6_quality, op7_language_model, op8_secrets, op9_packing, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_neighbours, op2_bpe, op3_minhash, op4_embedding_dedup, op5_token_counts, op6_quality, op7_language_model, op8_secrets, op9_packing, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

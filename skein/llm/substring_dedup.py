@@ -264,51 +264,81 @@ def merged(runs: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
-def dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """Remove every byte covered by a ``length``-byte string that also starts anywhere else.
-
-    Returns per document ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and, with
-    ``keep_text``, ``kept`` (the remaining bytes).  A null text counts as empty; texts shorter than
-    ``length`` lose nothing; copies of a whole text lose everything; an empty table stays empty.  Rows
-    with a null id, and repeated ids, get ids of their own for the work and keep their own in the result.
+def _char_edges(raw: bytes, a: int, b: int) -> tuple[int, int]:
+    """The interval shrunk to whole UTF-8 characters."""
+    while a < b and raw[a] & 0xC0 == 0x80:
+        a += 1
+    while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
+        b -= 1
+    return a, b
+
+
+def cut_out(raw: bytes, gone: list[tuple[int, int]]) -> bytes:
+    """The bytes outside the intervals."""
+    out, at = [], 0
+    for a, b in gone:
+        out.append(raw[at:a])
+        at = b
+    out.append(raw[at:])
+    return b"".join(out)
+
+
+def digests(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What removal of all repeated ``length``-byte strings leaves: counts and a digest per document.
+
+    Returns ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256``.
+    A null text counts as empty; texts shorter than ``length`` lose nothing; copies of a whole text lose
+    everything; an empty table stays empty.  Ids must be distinct; a row with a null id is judged like
+    the others only through its copies.
     """
-    src = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("_text"))
-    spans = materialize(repeated_spans(src.withColumnRenamed(id_col, "_id"), length, "_id", "_text"), "spans")
+    src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    spans = materialize(repeated_spans(src, length, "_id", "_text"), "spans")
     part = spans.where(~F.col("whole") & (F.size("runs") > 0)).select("_id", "runs")
-    need = spans.where(~F.col("whole")).select("_id", "runs") if keep_text else part
-    n = need.count()
-    kind = "_id long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_text else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for doc, text, runs in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                raw, out, at, gone = (text.as_py() or "").encode(), [], 0, merged(runs)
-                for x, y in gone:
-                    out.append(raw[at:x])
-                    at = y
-                out.append(raw[at:])
-                left = b"".join(out)
-                rows.append((doc, len(raw) - len(left), len(gone), hashlib.sha256(left).hexdigest(), left))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())]
-            names = ["_id", "n_removed", "n_spans", "kept_sha256"]
-            if keep_text:
-                arrays.append(pa.array(cols[4], pa.binary()))
-                names.append("kept")
-            yield pa.RecordBatch.from_arrays(arrays, names)
-
-    texts = src.withColumnRenamed(id_col, "_id")
-    edited = semi(texts, need, "_id", n).join(need, "_id").select("_id", "_text", "runs").mapInArrow(cut, kind)
-    out = spans.drop("runs").join(edited, "_id", "left")
-    empty_sha = hashlib.sha256(b"").hexdigest()
-    cols = [
+                raw, gone = (text.as_py() or "").encode(), merged(runs)
+                left = cut_out(raw, gone)
+                rows.append((doc, len(raw) - len(left), len(gone), hashlib.sha256(left).hexdigest()))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["_id", "n_removed", "n_spans", "kept_sha256"])
+
+    edited = semi(src, part, "_id", part.count()).join(part, "_id").select("_id", "_text", "runs").mapInArrow(cut, "_id long, n_removed long, n_spans long, kept_sha256 string")
+    whole = F.col("whole")
+    return spans.drop("runs").join(edited, "_id", "left").select(
         F.col("_id").alias(id_col),
         "n_bytes",
-        F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(F.col("whole"), F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).alias("n_spans"),
-        F.when(F.col("whole"), F.lit(empty_sha)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-    ]
-    if keep_text:
-        cols.append(F.when(F.col("whole"), F.lit(b"")).otherwise(F.col("kept")).alias("kept"))
-    return out.select(*cols)
+        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+    )
+
+
+def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the repeated strings cut out of ``text_col``; all other columns as they were.
+
+    Removed runs shrink to whole characters, so the text stays valid.  Texts that lose everything become
+    empty strings.  Untouched documents are passed through without moving their text.
+    """
+    spans = materialize(repeated_spans(docs.select(id_col, text_col), length, id_col, text_col), "spans")
+    touched = materialize(spans.where(F.col("whole") | (F.size("runs") > 0)).select(F.col("_id").alias(id_col), "whole", "runs"), "touched")
+    n = touched.count()
+    ids = touched.select(id_col)
+    rest = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, id_col, "left_anti")
+
+    @F.pandas_udf("string")
+    def cut(texts, runs):  # noqa: ANN001, ANN202
+        import pandas as pd
+
+        out = []
+        for text, r in zip(texts, runs, strict=True):
+            raw = (text or "").encode()
+            out.append(cut_out(raw, [_char_edges(raw, a, b) for a, b in merged(list(r))]).decode())
+        return pd.Series(out)
+
+    edited = semi(docs, touched, id_col, n).join(touched, id_col)
+    edited = edited.withColumn(text_col, F.when(F.col("whole"), F.lit("")).otherwise(cut(F.col(text_col), F.col("runs")))).select(*docs.columns)
+    return rest.select(*docs.columns).unionByName(edited)
