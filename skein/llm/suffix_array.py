@@ -12,10 +12,12 @@ import numpy as np
 
 #: More symbols than this are written as two digits.
 MAX_SYMBOLS = 3000
+#: Strings of names up to this length end the recursion: they are sorted by doubling.
+SMALL = 300_000
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Starts of all suffixes of an integer array (values >= 0) in ascending order."""
+    """Starts of all suffixes of an integer array (values >= 0, fewer than 2^31) in ascending order."""
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64)
@@ -29,8 +31,8 @@ def _types(t: np.ndarray) -> np.ndarray:
     n = len(t)
     less = np.empty(n, bool)
     less[-1] = True
-    d = np.sign(t[1:].astype(np.int64) - t[:-1].astype(np.int64)).astype(np.int8)
-    at = np.where(d != 0, np.arange(n - 1), n - 1)  # an equal neighbour inherits: find the next unequal one
+    d = (t[1:] > t[:-1]).astype(np.int8) - (t[1:] < t[:-1])
+    at = np.where(d != 0, np.arange(n - 1, dtype=np.int32), np.int32(n - 1))  # an equal neighbour inherits: find the next unequal one
     at = np.minimum.accumulate(at[::-1])[::-1]
     known = np.append(d, 1)[at]
     less[:-1] = known > 0
@@ -53,9 +55,9 @@ def _sort(t: np.ndarray, k: int) -> np.ndarray:
     m = len(lms)
     if m > 1:
         new = _differs(t, order, lms)
-        names = np.cumsum(new) - 1
+        names = np.cumsum(new, dtype=np.int32) - 1
         if names[-1] + 1 < m:
-            at = np.empty(n, np.int64)
+            at = np.empty(n, np.int32)
             at[order] = names
             order = lms[_reduced(at[lms], int(names[-1]) + 1)]
     return _induce(t, k, small, order, starts, ends)
@@ -63,6 +65,8 @@ def _sort(t: np.ndarray, k: int) -> np.ndarray:
 
 def _reduced(names: np.ndarray, k: int) -> np.ndarray:
     """Suffix array of the string of names, which ends in its only 0 (the final sentinel)."""
+    if len(names) <= SMALL:
+        return _doubled(names)
     if k <= MAX_SYMBOLS:
         return _sort(names.astype(np.uint16), k)
     base = int(np.ceil(np.sqrt(k))) + 1
@@ -76,10 +80,26 @@ def _reduced(names: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([[len(body)], even])
 
 
+def _doubled(names: np.ndarray) -> np.ndarray:
+    """Suffix array of a short string: ranks by the first 1, 2, 4, ... names until all differ."""
+    n = len(names)
+    rank, step = names.astype(np.int64), 1
+    while True:
+        key = rank * (n + 1)
+        key[: n - step] += rank[step:] + 1
+        order = np.argsort(key, kind="stable")
+        by = key[order]
+        new = np.concatenate([[0], np.cumsum(by[1:] != by[:-1])])
+        rank[order] = new
+        if new[-1] == n - 1 or step >= n:
+            return order
+        step *= 2
+
+
 def _differs(t: np.ndarray, order: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """For leftmost-smaller substrings in sorted order: does each differ from the one before it?"""
     n = len(t)
-    after = np.empty(n, np.int64)
+    after = np.empty(n, np.int32)
     after[lms[:-1]] = lms[1:]
     after[lms[-1]] = n - 1
     size = after[order] - order + 1
@@ -100,24 +120,33 @@ def _differs(t: np.ndarray, order: np.ndarray, lms: np.ndarray) -> np.ndarray:
 def _induce(t: np.ndarray, k: int, small: np.ndarray, lms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Suffix order induced from leftmost-smaller suffixes, given in order within their buckets."""
     n = len(t)
-    sa = np.zeros(n, np.int64)
+    sa = np.zeros(n, np.int32)
+    lms = lms.astype(np.int32)
     first = t[lms]
     by = np.argsort(first, kind="stable")
     seeds, cuts = lms[by], np.concatenate([[0], np.cumsum(np.bincount(first, minlength=k))])
     head = starts.copy()
+    large = ~small
+    inner = small.copy()
+    inner[-1] = False  # the sentinel has no right neighbour: -1 must find nothing here
 
     def push_large(block: np.ndarray) -> None:
-        j = block[block > 0] - 1
-        j = j[~small[j]]
+        j = block - 1  # -1, of the text's start, reads the sentinel, which is small
+        j = j[large[j]]
         if not len(j):
             return
         c = t[j]
-        o = np.argsort(c, kind="stable")
+        o = c.argsort(kind="stable")
         c, j = c[o], j[o]
-        cut = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-        size = np.diff(np.append(cut, len(c)))
+        edge = np.empty(len(c), bool)
+        edge[0] = True
+        np.not_equal(c[1:], c[:-1], out=edge[1:])
+        cut = edge.nonzero()[0]
+        size = np.empty_like(cut)
+        size[:-1] = cut[1:] - cut[:-1]
+        size[-1] = len(c) - cut[-1]
         sym = c[cut].astype(np.int64)
-        sa[np.repeat(head[sym] - cut, size) + np.arange(len(c))] = j
+        sa[np.repeat((head[sym] - cut).astype(np.int32), size) + np.arange(len(c), dtype=np.int32)] = j
         head[sym] += size
 
     for c in range(k):
@@ -131,17 +160,22 @@ def _induce(t: np.ndarray, k: int, small: np.ndarray, lms: np.ndarray, starts: n
     tail = ends.copy()
 
     def push_small(block: np.ndarray) -> None:
-        j = block[block > 0] - 1
-        j = j[small[j]]
+        j = block - 1
+        j = j[inner[j]]
         if not len(j):
             return
         c = t[j]
-        o = np.argsort(c, kind="stable")
+        o = c.argsort(kind="stable")
         c, j = c[o], j[o]
-        cut = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-        size = np.diff(np.append(cut, len(c)))
+        edge = np.empty(len(c), bool)
+        edge[0] = True
+        np.not_equal(c[1:], c[:-1], out=edge[1:])
+        cut = edge.nonzero()[0]
+        size = np.empty_like(cut)
+        size[:-1] = cut[1:] - cut[:-1]
+        size[-1] = len(c) - cut[-1]
         sym = c[cut].astype(np.int64)
-        sa[np.repeat(tail[sym] - 1 + cut, size) - np.arange(len(c))] = j
+        sa[np.repeat((tail[sym] - 1 + cut).astype(np.int32), size) - np.arange(len(c), dtype=np.int32)] = j
         tail[sym] -= size
 
     sa[0] = n - 1
@@ -165,7 +199,7 @@ def permuted_lcp(text: np.ndarray, sa: np.ndarray, breaks: np.ndarray, most: int
     ``most``, counted from the last compared position.
     """
     n = len(text)
-    phi = np.full(n, -1, np.int64)
+    phi = np.full(n, -1, np.int32)
     phi[sa[1:]] = sa[:-1]
     plcp = np.zeros(n, np.int64)
     if n < 2:
