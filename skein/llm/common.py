@@ -101,6 +101,24 @@ def uniform(x: np.ndarray) -> np.ndarray:
 
 
 # --------------------------------------------------------------------------- components
+def forest(a_ids: np.ndarray, b_ids: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """Edges (n x 2 ids) that join what a boolean matrix of links joins: each id to the least of its component."""
+    rows, cols = np.flatnonzero(hit.any(1)), np.flatnonzero(hit.any(0))
+    if not len(rows):
+        return np.zeros((0, 2), np.int64)
+    h = hit[np.ix_(rows, cols)]
+    left, right = a_ids[rows].copy(), b_ids[cols].copy()
+    big = np.iinfo(np.int64).max
+    while True:
+        low = np.minimum(left, np.where(h, right[None, :], big).min(1))
+        back = np.minimum(right, np.where(h, low[:, None], big).min(0))
+        if (low == left).all() and (back == right).all():
+            break
+        left, right = low, back
+    edges = np.concatenate([np.stack([a_ids[rows], left], 1), np.stack([b_ids[cols], right], 1)])
+    return edges[edges[:, 0] != edges[:, 1]]
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest reachable id of every vertex that has an edge: columns ``id``, ``component``.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import connected_components, materialize
+from skein.llm.common import connected_components, forest, materialize
 from skein.llm.neighbours import valid_vector
 
 THRESHOLD = 0.93
@@ -71,20 +71,7 @@ def block_links(a_ids: np.ndarray, a: np.ndarray, b_ids: np.ndarray, b: np.ndarr
     """Links of queries ``a`` to residents ``b``: counts by query, and forest edges (n x 2 ids)."""
     hit = (a @ b.T >= threshold) & (a_ids[:, None] != b_ids[None, :])
     counts = hit @ mult
-    rows, cols = np.flatnonzero(hit.any(1)), np.flatnonzero(hit.any(0))
-    if not len(rows):
-        return counts, np.zeros((0, 2), np.int64)
-    h = hit[np.ix_(rows, cols)]
-    left, right = a_ids[rows].copy(), b_ids[cols].copy()  # labels fall to the smallest id of the block's component
-    big = np.iinfo(np.int64).max
-    while True:
-        low = np.minimum(left, np.where(h, right[None, :], big).min(1))
-        back = np.minimum(right, np.where(h, low[:, None], big).min(0))
-        if (low == left).all() and (back == right).all():
-            break
-        left, right = low, back
-    edges = np.concatenate([np.stack([a_ids[rows], left], 1), np.stack([b_ids[cols], right], 1)])
-    return counts, edges[edges[:, 0] != edges[:, 1]]
+    return counts, forest(a_ids, b_ids, hit)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:

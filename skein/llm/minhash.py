@@ -11,8 +11,8 @@ component.  All random numbers are functions of (shingle, band, step).
 Signatures are banded; texts that share a band are candidates, and weighted Jaccard on the exact
 multisets decides.  A group of copies is never turned into all its pairs: identical multisets collapse
 first; then candidates are taken in rounds - each text against the smallest id it meets anywhere, then
-against the pivot of each bucket, then all remaining pairs of a bucket whose members still belong to
-different classes - and every round skips pairs that earlier links have already joined.
+against the pivot of each bucket, then block against block in the families of classes that still share
+buckets - and every round leaves out what earlier links have already joined.
 """
 
 from __future__ import annotations
@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import U, connected_components, discard, materialize, mix64, uniform
+from skein.llm.common import U, connected_components, discard, forest, materialize, mix64, uniform
 
 SHINGLE, THRESHOLD = 5, 0.8
 ROWS, BANDS = 6, 40
 BROADCAST_IDS = 1_000_000
+#: Documents, and items of their multisets, in a block of a family (on average).
+BLOCK_ROWS, BLOCK_ITEMS = 128, 500_000
 #: Shingles that are signed at once.
 BLOCK = 300_000
 _WORDS: dict[str, int] = {}
@@ -203,6 +205,84 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", common.alias("c"), (F.size("x") + F.size("y") - common).alias("u")).select("a", "b", (F.col("c") >= threshold * F.col("u")).alias("ok"))
 
 
+def _check(src: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` (a, b) with ``ok``, by their exact multisets."""
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "ids")
+    sets = _sets(src, ids)
+    checked = materialize(_verify(pairs, sets, threshold), "checked")
+    discard(sets)
+    return checked
+
+
+def _sets(src: DataFrame, ids: DataFrame) -> DataFrame:
+    """Multisets of the documents in ``ids``; the ids travel to the texts while they are few."""
+    few = ids.count() <= BROADCAST_IDS
+    return materialize(multisets(src.join(F.broadcast(ids) if few else ids, "_id", "left_semi")).dropDuplicates(["_id"]), "sets")
+
+
+def _mixed(mem: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (bucket, p, _id, n, c) of the buckets whose members belong to more than one class c."""
+    placed = mem.join(comp.withColumnRenamed("id", "_id"), "_id", "left").select("bucket", "p", "_id", "n", F.coalesce("component", "_id").alias("c"))
+    spread = placed.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("bucket", "c0")
+    return materialize(placed.join(spread, "bucket"), "mixed")
+
+
+def _families(src: DataFrame, left: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) across the classes that share buckets: all of them, as forests of blocks.
+
+    Classes that share a bucket form a family.  In a family, the members of all classes but the largest are
+    queries and everyone is a target; queries and targets meet block by block, and a block multiplies
+    incidence matrices of the exact multisets.  What leaves a block is a spanning forest, never its pairs.
+    """
+    fam = materialize(connected_components(left.select(F.col("c").alias("a"), F.col("c0").alias("b"))), "families")
+    own = left.select("_id", "n", "c").distinct().join(fam.select(F.col("id").alias("c"), F.col("component").alias("fam")), "c")
+    own = materialize(own, "family-members")
+    largest = own.groupBy("fam", "c").agg(F.count("*").alias("k"), F.sum("n").alias("items")).groupBy("fam").agg(
+        F.max(F.struct("k", "c"))["c"].alias("big"), F.sum("k").alias("k"), F.sum("items").alias("items"), F.max("k").alias("kb")
+    )
+    blocks = lambda k: F.greatest(F.ceil(k / F.lit(BLOCK_ROWS)), F.ceil(F.col("items") / F.lit(BLOCK_ITEMS))).cast("int")
+    plan = materialize(largest.select("fam", "big", blocks(F.col("k")).alias("nt"), blocks(F.col("k") - F.col("kb")).alias("nq")), "family-plan")
+    sets = _sets(src, own.select("_id"))
+    full = materialize(own.join(plan, "fam").join(sets, "_id"), "family-sets")
+    discard(sets)
+    block = lambda n, seed: F.pmod(F.xxhash64("_id", F.lit(seed)), F.col(n)).cast("int")
+    q = full.where("c <> big").select("fam", F.explode(F.sequence(F.lit(0), F.col("nt") - 1)).alias("tb"), block("nq", 1).alias("qb"), "_id", "items")
+    t = full.select(F.col("fam").alias("t_fam"), block("nt", 2).alias("t_tb"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("t_qb"), F.col("_id").alias("t_id"), F.col("items").alias("t_items"))
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        edges = np.zeros((0, 2), np.int64)
+        if a.num_rows and b.num_rows:
+            edges = _block_edges(a.column("_id").to_numpy(), a.column("items").combine_chunks(), b.column("t_id").to_numpy(), b.column("t_items").combine_chunks(), threshold)
+        return pa.table({"a": pa.array(edges[:, 0]), "b": pa.array(edges[:, 1])})
+
+    met = q.groupBy("fam", "tb", "qb").cogroup(t.groupBy("t_fam", "t_tb", "t_qb")).applyInArrow(run, "a long, b long")
+    return materialize(met, "family-links")
+
+
+def _block_edges(a_ids: np.ndarray, a_items: pa.ListArray, b_ids: np.ndarray, b_items: pa.ListArray, threshold: float) -> np.ndarray:
+    """Forest edges of the links between two blocks of multisets."""
+    parts = []
+    for items in (a_items, b_items):
+        size = np.diff(items.offsets.to_numpy())
+        parts.append((items.flatten().to_numpy(), np.repeat(np.arange(len(size)), size), size))
+    (x, xr, xn), (y, yr, yn) = parts
+    shared = np.intersect1d(x, y)
+    common = np.zeros((len(xn), len(yn)), np.float32)
+    for k in range(0, len(shared), 4096):  # columns of the incidence matrices, a slice at a time
+        cols = shared[k : k + 4096]
+        both = []
+        for v, r, n in ((x, xr, len(xn)), (y, yr, len(yn))):
+            at = np.minimum(np.searchsorted(cols, v), len(cols) - 1)
+            hit = cols[at] == v
+            m = np.zeros((n, len(cols)), np.float32)
+            m[r[hit], at[hit]] = 1
+            both.append(m)
+        common += both[0] @ both[1].T
+    c = common.astype(np.float64)
+    link = (c >= threshold * (xn[:, None] + yn[None, :] - c)) & (a_ids[:, None] != b_ids[None, :])
+    return forest(a_ids, b_ids, link)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``class_id`` (smallest id reachable through links) and ``kept``, one row per document.
 
@@ -225,32 +305,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     pivots = materialize(pivots, "pivots")
     mem = materialize(members.join(pivots, "bucket"), "members")  # buckets of two and more
     # Round 1: each text against the smallest pivot of all its buckets.
-    pairs = materialize(mem.where("_id <> p").groupBy(F.col("_id").alias("b")).agg(F.min("p").alias("a")).select("a", "b"), "pairs")
-    known, links = pairs.select("a", "b", F.lit(False).alias("ok")).limit(0), same
-    while True:
-        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "ids")
-        n = ids.count()
-        if n:
-            sets = materialize(multisets(src.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "_id", "left_semi")).dropDuplicates(["_id"]), "sets")
-            checked = materialize(_verify(pairs, sets, threshold), "checked")
-            known = known.unionByName(checked)
-            links = links.unionByName(checked.where("ok").select("a", "b"))
-            discard(sets)
-        comp = materialize(connected_components(links), "components")
-        if not n:
-            break
-        placed = mem.join(comp.withColumnRenamed("id", "_id"), "_id", "left").select("bucket", "p", "_id", "n", F.coalesce("component", "_id").alias("c"))
-        mixed = placed.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("bucket")
-        left = materialize(placed.join(mixed, "bucket"), "mixed")
-        of_pivot = left.where("_id = p").select("bucket", F.col("c").alias("pc"))
-        star = left.join(of_pivot, "bucket").where("c <> pc").select(F.least("p", "_id").alias("a"), F.greatest("p", "_id").alias("b")).distinct()
-        pairs = materialize(star.join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            # Round 3: the pivots have said all they can; what is left are pairs across classes.
-            l, r = left.alias("l"), left.alias("r")
-            size_ok = (F.col("l.n") >= threshold * F.col("r.n")) & (F.col("r.n") >= threshold * F.col("l.n"))
-            rest = l.join(r, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l._id") < F.col("r._id")) & (F.col("l.c") != F.col("r.c")) & size_ok).select(F.col("l._id").alias("a"), F.col("r._id").alias("b")).distinct()
-            pairs = materialize(rest.join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    first = mem.where("_id <> p").groupBy(F.col("_id").alias("b")).agg(F.min("p").alias("a")).select("a", "b")
+    known = _check(src, materialize(first, "pairs"), threshold)
+    links = same.unionByName(known.where("ok").select("a", "b"))
+    # Round 2: the members of a bucket that belong to another class than its pivot against the pivot.
+    left = _mixed(mem, materialize(connected_components(links), "components"))
+    of_pivot = left.where("_id = p").select("bucket", F.col("c").alias("pc"))
+    star = left.join(of_pivot, "bucket").where("c <> pc").select(F.least("p", "_id").alias("a"), F.greatest("p", "_id").alias("b")).distinct()
+    more = _check(src, materialize(star.join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs"), threshold)
+    links = links.unionByName(more.where("ok").select("a", "b"))
+    # Round 3: what still shares a bucket across classes, family by family.
+    left = _mixed(mem, materialize(connected_components(links), "components"))
+    links = links.unionByName(_families(src, left, threshold))
+    comp = materialize(connected_components(links), "components")
     classes = comp.withColumnRenamed("id", "_id")
     out = src.select("_id").join(classes, "_id", "left")
     cls = F.coalesce("component", "_id")
