@@ -49,10 +49,18 @@ def build(name: str, match: Column, citation: Column) -> Column:
     return _ref(name, text(F.lit(pre), pair), none, text(F.lit(label), pair), F.array(g(1), g(2)), citation)
 
 
+def _bind(value: Column, f) -> Column:  # noqa: ANN001
+    """f(value) with the value computed once: a lambda variable keeps large expressions small."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def parse_external(c: Column) -> Column:
     """The first form, in order of precedence, that occurs in the text; null if none does."""
-    s = norm(c)
-    return F.coalesce(*[F.when(s.rlike(rx), build(name, F.regexp_extract(s, rx, 0), s)) for name, rx in PATTERNS])
+
+    def first(s: Column) -> Column:
+        return F.coalesce(*[F.when(s.rlike(rx), build(name, F.regexp_extract(s, rx, 0), s)) for name, rx in PATTERNS])
+
+    return _bind(norm(c), first)
 
 
 def parse_form(c: Column) -> Column:

@@ -121,9 +121,11 @@ def internal_mentions(t: Column, anchors: Column, number: Column, prefix: str) -
 
 def external_mentions(t: Column, anchors: Column) -> Column:
     """Statutory forms in prose, then tagged external links: array<struct<ref, href, kind, evidence>>."""
-    prose = []
-    for name, rx in PATTERNS:
-        prose.append(F.transform(finditer(t, rx), lambda m, name=name: F.struct(build(name, m["match"], norm(m["match"])).alias("ref"), F.lit("").alias("href"), F.lit("inferred").alias("kind"), _around(t, m["start"], m["end"]).alias("evidence"))))
+
+    def mention(name: str):  # noqa: ANN202
+        return lambda m: F.struct(build(name, m["match"], norm(m["match"])).alias("ref"), F.lit("").alias("href"), F.lit("inferred").alias("kind"), _around(t, m["start"], m["end"]).alias("evidence"))
+
+    prose = [F.transform(finditer(t, rx), mention(name)) for name, rx in PATTERNS]
 
     def link(x: Column) -> Column:
         anchor, href = norm(_piece(t, x["start"], x["end"])), text_of(x["href"])
