@@ -18,7 +18,7 @@ MAIN = """<?xml version="1.0"?><!DOCTYPE concept PUBLIC "x" "y">
 <ol><li><p><ph props="autonumber">(1)</ph> Deep item, see paragraph (b)(2) of this section.</p></li></ol></li>
 <li><p>no label</p><ol><li><p><ph props="autonumber">(b)</ph> Second.</p></li></ol></li></ol>
 <table><title>T</title><tgroup cols="2"><colspec colname="c1" colnum="1"/><colspec colname="c2" colnum="2"/><tbody><row><entry namest="c1" nameend="c2">x &lt; y</entry></row></tbody></tgroup></table>
-<p>Form <xref href="https://example.invalid/sf33/" scope="external">Standard Form 33</xref> <xref href="mailto:a@b">mail</xref></p>
+<p>Form <xref href="https://example.invalid/sf33/" scope="external">Standard Form 33</xref> <xref href="mailto:a@b" scope="external">mail</xref></p>
 </conbody></concept>"""
 CLAUSE = """<concept><title><ph props="autonumber">52.204-8</ph> C</title><conbody>
 <p>As prescribed in 4.1202 (a), insert the following provision:</p><p outputclass="SmCaps">Certifications (Feb 2024)</p><p>Text of the basic provision that is long enough.</p>
