@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.common import bounded_batches
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words that a worker remembers; the cache is emptied when it is full.
@@ -245,6 +247,7 @@ def encode_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
 
 def _mapped(docs: DataFrame, path: str, id_col: str, text_col: str, digest: bool) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["n_tokens", "ids", "decoded"]
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
 

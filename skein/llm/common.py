@@ -76,9 +76,19 @@ def _clean() -> None:
     _WRITTEN.clear()
 
 
-def fan(spark: SparkSession) -> int:
-    """Partitions for an exchange by key."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Rows of an Arrow batch of texts or vectors; Spark's default is ten times as many.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small: texts can be long, and a worker holds a batch several times over.
+
+    Lowers ``spark.sql.execution.arrow.maxRecordsPerBatch`` of the session to ``BATCH_ROWS`` if it is larger.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 # --------------------------------------------------------------------------- hashing

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import materialize
+from skein.llm.common import bounded_batches, materialize
 
 #: Spill a partition's word counts beyond this many distinct words.
 COUNT_WORDS = 500_000
@@ -202,6 +202,7 @@ def score(
     as empty: one end token.  With no training rows every word is unseen.  Repeated rows are scored
     and counted each; other columns are read only if ``train_where`` names them.
     """
+    bounded_batches(docs.sparkSession)
     train = docs.where(F.expr(train_where))
     counts = materialize(word_counts(train, text_col), "words")
     model = ClassModel(counts, train, train.count(), head_words, cluster_words, classes, text_col)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import U, connected_components, discard, forest, materialize, mix64, uniform
+from skein.llm.common import U, bounded_batches, connected_components, discard, forest, materialize, mix64, uniform
 
 SHINGLE, THRESHOLD = 5, 0.8
 ROWS, BANDS = 6, 40
@@ -33,14 +33,16 @@ BROADCAST_IDS = 1_000_000
 #: Documents, and items of their multisets, in a block of a family (on average).
 BLOCK_ROWS, BLOCK_ITEMS = 128, 500_000
 #: Shingles that are signed at once.
-BLOCK = 300_000
+BLOCK = 150_000
+#: Words whose hash a worker remembers.
+CACHE_WORDS = 150_000
 _WORDS: dict[str, int] = {}
 
 
 def _word_hash(words: list[str]) -> np.ndarray:
     """64-bit hash of each word, remembered by the worker."""
     known = _WORDS
-    if len(known) > 600_000:
+    if len(known) > CACHE_WORDS:
         known.clear()
     try:
         return np.array([known[w] for w in words], dtype=np.int64)
@@ -292,6 +294,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     An empty table gives an empty result; other columns are not read, whatever their names.
     """
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    bounded_batches(docs.sparkSession)
     sig = materialize(signed(src), "signed")
     usable = sig.where("n > 0 and _id is not null")
     keys = materialize(usable.groupBy("key").agg(F.min("_id").alias("rep")), "keys")

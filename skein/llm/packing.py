@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import materialize
+from skein.llm.common import bounded_batches, materialize
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -138,6 +138,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, and its place (part, local rank)."""
+    bounded_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     end = array("I", [end_id]).tobytes()
 

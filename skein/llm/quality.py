@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.common import bounded_batches
+
 #: At most this many labelled rows are sampled, the ones with the smallest hash of their id.
 SAMPLE_ROWS = 20_000
 #: Preference pairs drawn from the sample.
@@ -116,6 +118,7 @@ class BradleyTerry:
 
 def train(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> BradleyTerry:
     """Fit on at most ``sample_rows`` labelled rows; rows without a 0/1 label or an id take no part."""
+    bounded_batches(docs.sparkSession)
     lab = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_y")).distinct()
     picked = lab.orderBy(F.xxhash64("_id"), "_y").limit(sample_rows)  # a bounded top-k, not a full sort
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(picked), "_id")
@@ -140,6 +143,7 @@ def score(docs: DataFrame, model: BradleyTerry, text_col: str = "text", out_col:
     empty.
     """
 
+    bounded_batches(docs.sparkSession)
     @F.pandas_udf("double")
     def f(texts):  # noqa: ANN001, ANN202 - a pandas Series to a pandas Series
         import pandas as pd

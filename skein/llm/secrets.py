@@ -32,7 +32,9 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE_MIN = 16
 CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE_MIN
 #: Mean log-likelihood ratio of a transition (natural log) above which a candidate is a secret.
-RATIO = 0.05
+RATIO = 0.3
+#: Added to every character's count, and the weight of character frequencies in a transition's estimate.
+SMOOTH, PRIOR = 0.2, 3.0
 
 #: Ordinary identifiers that every training starts from, beside those of the corpus.
 IDENTIFIERS = """
@@ -105,7 +107,7 @@ def train(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
     that one format's frequency does not decide.
 
     Random strings: values of base matches.  Ordinary identifiers: long runs of key characters in
-    texts without base matches.  Add-one smoothing over the alphabet.  All rows are counted.
+    texts without base matches.  Transitions are smoothed by character frequencies.  All rows are counted.
     """
     t = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t")).select("_t", base_spans(F.col("_t")).alias("_b"))
     random = F.transform("_b", lambda x: F.when(x["k"] == 0, _value(x["v"])).otherwise(x["v"]))
@@ -118,12 +120,16 @@ def train(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
     scale = [1.0, min(1.0, sum(n[1].values()) / 2 / max(seen, 1))]
     for r in rows:
         n[r["y"]][r["p"]] = n[r["y"]].get(r["p"], 0) + r["count"] * scale[r["y"]]
-    out: dict[str, float] = {}
-    for a in ALPHABET:
-        of = [sum(d.get(a + b, 0) for b in ALPHABET) + len(ALPHABET) for d in n]
-        for b in ALPHABET:
-            out[a + b] = math.log((n[1].get(a + b, 0) + 1) / of[1]) - math.log((n[0].get(a + b, 0) + 1) / of[0])
-    return out
+    logs = [_log_chain(d) for d in n]
+    return {p: logs[1][p] - logs[0][p] for p in logs[0]}
+
+
+def _log_chain(n: dict[str, float]) -> dict[str, float]:
+    """Log probability of each transition, smoothed towards the chain's own character frequencies."""
+    of = {a: sum(n.get(a + b, 0) for b in ALPHABET) for a in ALPHABET}
+    to = {b: sum(n.get(a + b, 0) for a in ALPHABET) + SMOOTH for b in ALPHABET}
+    total = sum(to.values())
+    return {a + b: math.log((n.get(a + b, 0) + PRIOR * to[b] / total) / (of[a] + PRIOR)) for a in ALPHABET for b in ALPHABET}
 
 
 def mean_ratio(v: Column, model: dict[str, float]) -> Column:

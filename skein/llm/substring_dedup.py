@@ -25,16 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import U, materialize, mix64
+from skein.llm.common import U, bounded_batches, materialize, mix64
 from skein.llm.suffix_array import permuted_lcp, suffix_array
 
 GRAM = 64
 #: Bytes of contexts that a shard holds on average, and the most that one hash may bring to a shard.
-SHARD_BYTES, HOT_BYTES = 4_000_000, 1_000_000
+SHARD_BYTES, HOT_BYTES = 3_000_000, 1_000_000
 #: Ids up to this many are broadcast when they filter the texts; above it the join is by key.
 BROADCAST_IDS = 1_000_000
 #: Text is worked on in blocks of about this many bytes.
-BLOCK = 4_000_000
+BLOCK = 1_000_000
 
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
@@ -212,6 +212,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     if length < GRAM:
         raise ValueError(f"length must be {GRAM} at least")
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    bounded_batches(docs.sparkSession)
     prints = materialize(_prints(src, length), "prints")
     texts = materialize(prints.groupBy("sha").agg(F.min("_id").alias("_id"), F.count("*").alias("copies")), "texts")
     extra = materialize(prints.select("_id", "sha").join(texts.where("copies > 1").select("sha", F.col("_id").alias("_rep")), "sha").where("_id <> _rep").select("_id"), "copies")
@@ -324,7 +325,7 @@ def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
     empty strings.  Untouched documents are passed through without moving their text.
     """
     spans = materialize(repeated_spans(docs.select(id_col, text_col), length, id_col, text_col), "spans")
-    touched = materialize(spans.where(F.col("whole") | (F.size("runs") > 0)).select(F.col("_id").alias(id_col), "whole", "runs"), "touched")
+    touched = materialize(spans.where(F.col("whole") | (F.size("runs") > 0)).select(F.col("_id").alias(id_col), F.col("whole").alias("_skein_whole"), F.col("runs").alias("_skein_runs")), "touched")
     n = touched.count()
     ids = touched.select(id_col)
     rest = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, id_col, "left_anti")
@@ -340,5 +341,5 @@ def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
         return pd.Series(out)
 
     edited = semi(docs, touched, id_col, n).join(touched, id_col)
-    edited = edited.withColumn(text_col, F.when(F.col("whole"), F.lit("")).otherwise(cut(F.col(text_col), F.col("runs")))).select(*docs.columns)
+    edited = edited.withColumn(text_col, F.when(F.col("_skein_whole"), F.lit("")).otherwise(cut(F.col(text_col), F.col("_skein_runs")))).select(*docs.columns)
     return rest.select(*docs.columns).unionByName(edited)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.common import bounded_batches
+
 #: The word mark, and what an unknown character costs below the lowest score.
 MARK, UNKNOWN_PENALTY = "▁", 10.0
 CACHE_WORDS = 400_000
@@ -115,6 +117,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     A null or empty text has no tokens.  Rows are independent, so repeated rows stay and an empty
     table gives an empty result; other columns are not read, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
