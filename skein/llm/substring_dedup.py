@@ -30,11 +30,11 @@ from skein.llm.suffix_array import permuted_lcp, suffix_array
 
 GRAM = 64
 #: Bytes of contexts that a shard holds on average, and the most that one hash may bring to a shard.
-SHARD_BYTES, HOT_BYTES = 3_000_000, 1_000_000
+SHARD_BYTES, HOT_BYTES = 2_000_000, 1_000_000
 #: Ids up to this many are broadcast when they filter the texts; above it the join is by key.
 BROADCAST_IDS = 1_000_000
 #: Text is worked on in blocks of about this many bytes.
-BLOCK = 1_000_000
+BLOCK = 600_000
 
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))

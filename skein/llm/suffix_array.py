@@ -14,6 +14,8 @@ import numpy as np
 MAX_SYMBOLS = 3000
 #: Strings of names up to this length end the recursion: they are sorted by doubling.
 SMALL = 300_000
+#: Suffix pairs that are compared at once.
+CHUNK = 200_000
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -21,8 +23,14 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64)
-    values = np.unique(text)
-    t = np.append(np.searchsorted(values, text) + 1, 0).astype(np.uint16 if len(values) < 65000 else np.int64)
+    values = np.flatnonzero(np.bincount(text)) if text.dtype.itemsize <= 2 else np.unique(text)
+    kind = np.uint16 if len(values) < 65000 else np.int32
+    if values[0] >= 0 and values[-1] < 4096:  # a small alphabet is renamed by a table
+        table = np.zeros(int(values[-1]) + 1, kind)
+        table[values] = np.arange(1, len(values) + 1)
+        t = np.append(table[text], kind(0))
+    else:
+        t = np.append((np.searchsorted(values, text) + 1).astype(kind), kind(0))
     return _sort(t, len(values) + 1)[1:]
 
 
@@ -201,33 +209,36 @@ def permuted_lcp(text: np.ndarray, sa: np.ndarray, breaks: np.ndarray, most: int
     n = len(text)
     phi = np.full(n, -1, np.int32)
     phi[sa[1:]] = sa[:-1]
-    plcp = np.zeros(n, np.int64)
     if n < 2:
-        return plcp, phi
+        return np.zeros(n, np.int32), phi
     pad = np.concatenate([text.astype(np.uint8), np.zeros(most + 16, np.uint8)])
     words = np.lib.stride_tricks.as_strided(pad.view(np.uint8), shape=(len(pad) - 7, 8), strides=(1, 1))
-    i = np.arange(n)
-    prev = np.where(phi > 0, pad[phi - 1], 0)
-    same = (phi > 0) & (i > 0) & (np.concatenate([[0], text[:-1]]) == prev)
+    same = np.zeros(n, bool)
+    same[1:] = (phi[1:] > 0) & (text[:-1] == pad[phi[1:] - 1])
     same[breaks] = False
-    todo = np.flatnonzero(~same & (phi >= 0))
-    a, b = todo, phi[todo]
-    got = np.zeros(len(todo), np.int64)
-    live = np.arange(len(todo))
+    todo = np.flatnonzero(~same & (phi >= 0)).astype(np.int32)
+    reach = np.full(n, -1, np.int32)
+    for k in range(0, len(todo), CHUNK):
+        part = todo[k : k + CHUNK]
+        reach[part] = part + _compare(words, part, phi[part], n, most)
+    at = np.arange(n, dtype=np.int32)
+    last = np.maximum.accumulate(np.where(reach >= 0, at, 0))
+    plcp = np.maximum(reach[last] - at, 0)
+    plcp[phi < 0] = 0
+    return plcp, phi
+
+
+def _compare(words: np.ndarray, a: np.ndarray, b: np.ndarray, n: int, most: int) -> np.ndarray:
+    """Common prefix of the suffixes at ``a`` and ``b``, eight bytes a step, up to ``most`` or a little more."""
+    got = np.zeros(len(a), np.int32)
+    live = np.arange(len(a))
     step = 0
     while len(live) and step < most:
         x, y = a[live] + step, b[live] + step
-        ok = (x + 8 <= n) & (y + 8 <= n)
         diff = words[np.minimum(x, n + 8)] != words[np.minimum(y, n + 8)]
         length = np.where(diff.any(1), diff.argmax(1), 8)
-        length = np.where(ok, length, np.minimum(length, np.minimum(n - x, n - y)))
-        got[live] += np.maximum(length, 0)
+        length = np.maximum(np.minimum(length, np.minimum(n - x, n - y)), 0)
+        got[live] += length.astype(np.int32)
         live = live[length == 8]
         step += 8
-    reach = np.full(n, -1, np.int64)
-    reach[todo] = todo + got
-    last = np.where(reach >= 0, i, 0)
-    last = np.maximum.accumulate(last)
-    plcp = np.maximum(reach[last] - i, 0)
-    plcp[phi < 0] = 0
-    return plcp, phi
+    return got
