@@ -76,6 +76,21 @@ def _clean() -> None:
     _WRITTEN.clear()
 
 
+def release() -> None:
+    """Give a worker's free memory back: workers outlive their tasks and share an executor's memory."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not a glibc system
+        pass
+
+
 #: Rows of an Arrow batch of texts or vectors; Spark's default is ten times as many.
 BATCH_ROWS = 1000
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import U, bounded_batches, connected_components, discard, forest, materialize, mix64, uniform
+from skein.llm.common import U, bounded_batches, connected_components, discard, forest, materialize, mix64, release, uniform
 
 SHINGLE, THRESHOLD = 5, 0.8
 ROWS, BANDS = 6, 40
@@ -162,6 +162,8 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                     ids, keys, sizes, sh = [], [], [], []
             if ids:
                 yield _signed_batch(ids, keys, sizes, sh, bands, rows)
+        _WORDS.clear()  # kept strings would pin the memory of all that were split beside them
+        release()
 
     return docs.select("_id", "_text").mapInArrow(run, "_id long, key string, n int, bands array<long>")
 
@@ -195,6 +197,8 @@ def multisets(docs: DataFrame) -> DataFrame:
                 sets.append(np.where(nth > 0, mix64(h + nth), h).view(np.int64))
             offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets) if sets else [], pa.int64()))], ["_id", "items"])
+        _WORDS.clear()
+        release()
 
     return docs.select("_id", "_text").mapInArrow(run, "_id long, items array<long>")
 

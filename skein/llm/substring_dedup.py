@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import U, bounded_batches, materialize, mix64
+from skein.llm.common import U, bounded_batches, materialize, mix64, release
 from skein.llm.suffix_array import permuted_lcp, suffix_array
 
 GRAM = 64
@@ -119,6 +119,7 @@ def _prints(docs: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), pa.array([len(t) for t in texts[lo:hi]], pa.int64()), pa.array([hashlib.sha256(t).hexdigest() for t in texts[lo:hi]]), *arrays], ["_id", "n_bytes", "sha", "h", "s", "n"]
                 )
+        release()
 
     return docs.mapInArrow(run, kind)
 
@@ -158,6 +159,7 @@ def _contexts(joined: DataFrame, length: int, out: str, hot: bool) -> DataFrame:
                     [pa.array([p["h"] for p in places], pa.int64()), pa.array(digest[0::2]), pa.array(digest[1::2]), pa.array([doc] * len(places), pa.int64()), pa.array([p["s"] for p in places], pa.int32()), pa.array([p["n"] for p in places], pa.int32()), pa.array(parts, pa.binary())],
                     ["h", "c1", "c2", "_id", "s", "n", "content"],
                 )
+        release()
 
     return joined.mapInArrow(run, out)
 
@@ -194,6 +196,8 @@ def _shard(key, pdf, length: int):  # noqa: ANN001, ANN202
     edge = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
     first, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     own = np.searchsorted(starts, first, side="right") - 1
+    del sa, plcp, phi, text
+    release()
     return pd.DataFrame({"h": pdf["h"].to_numpy()[own], "c1": pdf["c1"].to_numpy()[own], "c2": pdf["c2"].to_numpy()[own], "a": (first - starts[own]).astype(np.int32), "b": (end - starts[own]).astype(np.int32)})
 
 
