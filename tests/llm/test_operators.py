@@ -148,6 +148,13 @@ def test_language_model_places_all_recurring_words(spark):
     assert language_model.sizes(10**7, 1000, 60) > language_model.sizes(10**5, 1000, 60) == (1000, 60)
 
 
+def test_language_model_cache_changes_nothing(docs):
+    train = "crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2"
+    a, b = ({r.doc_id: (r.n_known, r.base_score, r.score) for r in language_model.score(docs, train, head_words=n).collect()} for n in (5, 100_000))
+    assert a.keys() == b.keys()
+    assert all(x[0] == y[0] and np.allclose(x[1:], y[1:], rtol=1e-9) for x, y in ((a[d], b[d]) for d in a))
+
+
 def test_exchange_ends_where_no_sweep_moves():
     rng = np.random.default_rng(4)
     big = rng.poisson(0.4, (160, 160)).astype(float)
