@@ -25,10 +25,23 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: of each class of near duplicates the document with the smallest id stays."""
-    gone = materialize(minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id"), "gone")
+    """Operator 3: of each class of near duplicates the document with the smallest id stays, null ids last.
+
+    Rows are told apart by a number of their own: of repeated rows one stays, and rows of one id with
+    different texts are judged each by its text.
+    """
+    row = "_skein_row"
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    classes = minhash.near_duplicates(rows, id_col=row).select(row, "class_id")
+    same = [c for c in docs.columns if c != "text"]
+    ids = rows.select(row, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row).alias("_order"), F.sha2("text", 256).alias("_sha"), *same)
+    of = materialize(ids.join(classes, row), "classes")
+    least = lambda *by: of.groupBy(*by).agg(F.min("_order")[row].alias(row)).select(row)
+    # texts without words link with nothing, so whole rows that repeat are found by their columns
+    stay = least("class_id").join(least("_sha", *same), row, "left_semi")
+    gone = materialize(of.select(row).join(stay, row, "left_anti"), "gone")
     few = gone.count() <= minhash.BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    return rows.join(F.broadcast(gone) if few else gone, row, "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -326,13 +326,16 @@ def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
     """``docs`` with the repeated strings cut out of ``text_col``; all other columns as they were.
 
     Removed runs shrink to whole characters, so the text stays valid.  Texts that lose everything become
-    empty strings.  Untouched documents are passed through without moving their text.
+    empty strings.  Untouched documents are passed through without moving their text.  Rows are told apart
+    by a number of their own, so ids may be null or shared.
     """
-    spans = materialize(repeated_spans(docs.select(id_col, text_col), length, id_col, text_col), "spans")
-    touched = materialize(spans.where(F.col("whole") | (F.size("runs") > 0)).select(F.col("_id").alias(id_col), F.col("whole").alias("_skein_whole"), F.col("runs").alias("_skein_runs")), "touched")
+    columns, row = docs.columns, "_skein_row"
+    docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    spans = materialize(repeated_spans(docs.select(row, text_col), length, row, text_col), "spans")
+    touched = materialize(spans.where(F.col("whole") | (F.size("runs") > 0)).select(F.col("_id").alias(row), F.col("whole").alias("_skein_whole"), F.col("runs").alias("_skein_runs")), "touched")
     n = touched.count()
-    ids = touched.select(id_col)
-    rest = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, id_col, "left_anti")
+    ids = touched.select(row)
+    rest = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, row, "left_anti")
 
     @F.pandas_udf("string")
     def cut(texts, runs):  # noqa: ANN001, ANN202
@@ -344,6 +347,6 @@ def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
             out.append(cut_out(raw, [_char_edges(raw, a, b) for a, b in merged(list(r))]).decode())
         return pd.Series(out)
 
-    edited = semi(docs, touched, id_col, n).join(touched, id_col)
-    edited = edited.withColumn(text_col, F.when(F.col("_skein_whole"), F.lit("")).otherwise(cut(F.col(text_col), F.col("_skein_runs")))).select(*docs.columns)
-    return rest.select(*docs.columns).unionByName(edited)
+    edited = semi(docs, touched, row, n).join(touched, row)
+    edited = edited.withColumn(text_col, F.when(F.col("_skein_whole"), F.lit("")).otherwise(cut(F.col(text_col), F.col("_skein_runs")))).select(*columns)
+    return rest.select(*columns).unionByName(edited)

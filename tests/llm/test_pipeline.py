@@ -27,3 +27,24 @@ def test_empty_documents(spark, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_repeated_rows_stay_once(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    text = {k: " ".join(f"{k}{i * i}" for i in range(120)) for k in "abcd"}
+    rows = [(1, "a"), (1, "a"), (2, "a"), (3, "b"), (3, "c"), (4, "c"), (None, "d"), (None, "d"), (5, ""), (5, ""), (6, None), (6, None)]
+    few = spark.createDataFrame([(i, text.get(k, k)) for i, k in rows], "doc_id long, text string").repartition(3)
+    docs = d.unionByName(few, allowMissingColumns=True)
+    once = cp.keep_one_near_duplicate(spark, docs, SF)
+    want = sorted([(1, text["a"]), (3, text["b"]), (3, text["c"]), (None, text["d"]), (5, ""), (6, None)], key=str)
+    assert sorted(((r.doc_id, r.text) for r in once.collect()), key=str) == want
+    assert sorted(((r.doc_id, r.text) for r in cp.cut_repeats(spark, once, SF).collect()), key=str) == want
+
+
+def test_cut_repeats_tells_rows_of_one_id_apart(spark):
+    from skein.llm import substring_dedup
+
+    part, own = "p" + "xyz " * 20 + "".join(f"{i} " for i in range(90)), {k: " ".join(f"{k}{i * i}" for i in range(40)) for k in "abc"}
+    df = spark.createDataFrame([(1, own["a"] + part), (1, own["b"]), (None, part + own["c"])], "doc_id long, text string").repartition(2)
+    got = sorted(((r.doc_id, r.text) for r in substring_dedup.without_repeats(df).collect()), key=str)
+    assert got == sorted([(1, own["a"]), (1, own["b"]), (None, own["c"])], key=str)
