@@ -293,10 +293,11 @@ def digests(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
 
     Returns ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256``.
     A null text counts as empty; texts shorter than ``length`` lose nothing; copies of a whole text lose
-    everything; an empty table stays empty.  Ids must be distinct; a row with a null id is judged like
-    the others only through its copies.
+    everything; an empty table stays empty.  Rows are told apart by a number of their own, so ids may be
+    null or shared: each row is judged by its text and gives one row.
     """
-    src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    src = docs.select(F.monotonically_increasing_id().alias("_id"), F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("string").alias("_text"))
+    src = materialize(src, "rows")
     spans = materialize(repeated_spans(src, length, "_id", "_text"), "spans")
     part = spans.where(~F.col("whole") & (F.size("runs") > 0)).select("_id", "runs")
 
@@ -313,8 +314,8 @@ def digests(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
 
     edited = semi(src, part, "_id", part.count()).join(part, "_id").select("_id", "_text", "runs").mapInArrow(cut, "_id long, n_removed long, n_spans long, kept_sha256 string")
     whole = F.col("whole")
-    return spans.drop("runs").join(edited, "_id", "left").select(
-        F.col("_id").alias(id_col),
+    return spans.drop("runs").join(edited, "_id", "left").join(src.select("_id", "_doc"), "_id").select(
+        F.col("_doc").alias(id_col),
         "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),

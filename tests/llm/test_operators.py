@@ -245,6 +245,15 @@ def test_substrings_without_any(spark, empty):
     assert substring_dedup.without_repeats(df).orderBy("doc_id").collect()[0].runs == 5
 
 
+def test_substrings_of_null_and_shared_ids(spark):
+    part, own = "p" + "".join(f"{i} " for i in range(90)), {k: " ".join(f"{k}{i * i}" for i in range(40)) for k in "abcd"}
+    rows = [(1, own["a"] + part), (None, part + own["b"]), (None, own["c"]), (2, own["d"]), (2, part)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    left = [own["a"], own["b"], own["c"], own["d"], ""]
+    want = [(i, len(t), len(t) - len(x), int(t != x), hashlib.sha256(x.encode()).hexdigest()) for (i, t), x in zip(rows, left, strict=True)]
+    assert sorted(map(tuple, substring_dedup.digests(df).collect()), key=str) == sorted(want, key=str)
+
+
 def test_bagminhash_is_unbiased():
     rng = np.random.default_rng(1)
     for most in (2, 9, 200):
