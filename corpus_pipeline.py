@@ -71,7 +71,7 @@ STAGES = [
     ("best-fit packing", pack_sequences),
 ]
 
-#: SQL expresses none of the learnt stages; the tests hold run() against a brute-force version.
+#: SQL expresses none of the learnt stages; the tests hold run() against its stages one by one, not against brute force.
 ORACLE_SQL = None
 
 
