@@ -11,7 +11,8 @@ A byte goes if it lies in a string of ``length`` bytes that starts at two places
    hash.  All equal windows meet in one shard: their suffix array is built by induced sorting, and
    permuted common prefixes of ``length`` or more mark the windows that occur twice.
 4. A hash with very many distinct contexts would make a shard grow without bound.  Its windows are
-   dealt out one by one by a 128-bit hash of their bytes and counted: the exact way for hot places.
+   dealt out one by one by a cryptographic digest of their bytes (BLAKE2b, 128 bits) and counted: the way
+   for hot places, exact because no two strings of one digest can be found.
 5. Marked windows go back to their documents as byte intervals; their union is cut out.
 """
 
@@ -146,12 +147,11 @@ def _contexts(joined: DataFrame, length: int, out: str, hot: bool) -> DataFrame:
             for doc, text, places in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 raw = (text.as_py() or "").encode()
                 if hot:
-                    data = np.frombuffer(raw, np.uint8)
-                    one, two = _window_hashes(data, length)
                     at = np.concatenate([np.arange(p["s"], p["s"] + p["n"]) for p in places])
                     for k in range(0, len(at), 50_000):
                         x = at[k : k + 50_000]
-                        yield pa.RecordBatch.from_arrays([pa.array(one[x]), pa.array(two[x]), pa.array(np.full(len(x), doc)), pa.array(x.astype(np.int32))], ["w1", "w2", "_id", "at"])
+                        w = np.frombuffer(b"".join([hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in x.tolist()]), np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(w[0::2]), pa.array(w[1::2]), pa.array(np.full(len(x), doc)), pa.array(x.astype(np.int32))], ["w1", "w2", "_id", "at"])
                     continue
                 parts = [raw[p["s"] : p["s"] + p["n"] + length - 1] for p in places]
                 digest = np.frombuffer(b"".join(hashlib.blake2b(c, digest_size=16).digest() for c in parts), np.int64)
@@ -164,13 +164,6 @@ def _contexts(joined: DataFrame, length: int, out: str, hot: bool) -> DataFrame:
     return joined.mapInArrow(run, out)
 
 
-def _window_hashes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of the ``length`` bytes at each position."""
-    h = gram_hashes(data, length)
-    flipped = gram_hashes(255 - data[::-1], length)[::-1]
-    return h.view(np.int64), np.ascontiguousarray(flipped).view(np.int64)
-
-
 def _shard(key, pdf, length: int):  # noqa: ANN001, ANN202
     """One shard: marks for each context, as runs of window numbers (from its first window)."""
     import pandas as pd
