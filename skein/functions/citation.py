@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skein.functions.text import norm, text_of
+from skein.functions.text import bind, norm, text_of
 
 # Fixed values of the address grammar.
 NUMBER = r"\d+\.\d+(?:-\d+)?"
@@ -64,23 +64,26 @@ def href_to_citation(href: Column, prefix: str) -> Column:
 
 def norm_citation(c: Column) -> Column:
     """P9: 'subpart'/'part' references keep the last word; all others lose their spaces."""
-    s = norm(c)
-    last = F.element_at(F.split(s, " "), -1)
-    return F.when(F.lower(s).startswith("subpart"), F.concat(F.lit("subpart "), last)).when(F.lower(s).startswith("part"), F.concat(F.lit("part "), last)).otherwise(F.replace(s, F.lit(" "), F.lit("")))
+
+    def form(s: Column) -> Column:
+        word = lambda w: F.concat(F.lit(w + " "), F.substring_index(s, " ", -1))
+        low = F.lower(F.substring(s, 1, 7))
+        return F.when(low == "subpart", word("subpart")).when(low.startswith("part"), word("part")).otherwise(F.replace(s, F.lit(" "), F.lit("")))
+
+    return bind(norm(c), form)
 
 
 def split_alternate(c: Column) -> dict[str, Column]:
-    """P10: (base, ROMAN) of a target that ends in 'Alternate II'."""
-    rx = r"(?i)^(.*?)\s*\bAlternate\s+([IVX]+)\s*$"
+    """P10: (base, ROMAN) of a target that ends in 'Alternate II', with or without spaces."""
+    rx = r"(?i)^(.*?) ?Alternate ?([IVX]+)$"
     s = norm(c)
-    hit = s.rlike(rx)
-    return {"base": F.when(hit, F.trim(F.regexp_extract(s, rx, 1))).otherwise(s), "alternate": F.when(hit, F.upper(F.regexp_extract(s, rx, 2))).otherwise(F.lit(""))}
+    return {"base": F.when(s.rlike(rx), F.regexp_extract(s, rx, 1)).otherwise(s), "alternate": F.upper(F.regexp_extract(s, rx, 2))}
 
 
 def section_root(c: Column) -> Column:
     """The leading unit number, else the input."""
     s = text_of(c)
-    return F.when(s.rlike(f"^{NUMBER}"), F.regexp_extract(s, f"^({NUMBER})", 1)).otherwise(s)
+    return F.coalesce(F.nullif(F.regexp_extract(s, f"^({NUMBER})", 1), F.lit("")), s)
 
 
 def strip_agency(c: Column) -> Column:
@@ -118,9 +121,8 @@ def roman_to_int(c: Column) -> Column:
 
 def alternate_number(c: Column) -> Column:
     """P11 for alternates: digits pass, roman numerals become arabic, anything without a value ''."""
-    s = text_of(c)
-    v = roman_value(s)
-    return F.when(s.rlike(r"^\d+$"), s).when(v != 0, v.cast("string")).otherwise(F.lit(""))
+    worth = lambda s: bind(roman_value(s), lambda v: F.when(v != 0, v.cast("string")).otherwise(F.lit("")))
+    return bind(F.trim(text_of(c)), lambda s: F.when(s == "", s).when(s.rlike(r"^\d+$"), s).otherwise(worth(s)))
 
 
 def int_to_roman(n: Column) -> Column:
@@ -140,27 +142,40 @@ def enumerate_tokens(start: Column, end: Column) -> Column:
     """Explicit members of a range of labels, null where the axis is unsafe or the range too long.
 
     Digits; roman numerals when one end has several characters; single letters unless both are roman
-    digits.  Ends of mixed case share no axis.  Case is kept.
+    digits.  Ends of mixed case share no axis.  Case is kept.  Digits beyond a long are counted as decimals,
+    and labels of over 37 digits are never expanded.
     """
-    both = lambda rx: start.rlike(rx) & end.rlike(rx)
-    a, b = start.cast("long"), end.cast("long")
-    upper = (F.upper(start) == start)
-    one_case = upper == (F.upper(end) == end)
-    lo, hi = F.lower(start), F.lower(end)
-    cased = lambda arr: F.when(upper, F.transform(arr, F.upper)).otherwise(arr)
-    digits = F.when((b - a >= 0) & (b - a <= RANGE_CAP), F.transform(F.sequence(a, F.greatest(a, b)), lambda x: x.cast("string")))
-    ra, rb = roman_value(lo), roman_value(hi)
-    romans = F.when((rb - ra > 0) & (rb - ra <= RANGE_CAP), cased(F.transform(F.sequence(ra, F.greatest(ra, rb)), int_to_roman)))
-    la, lb = F.ascii(lo), F.ascii(hi)
-    letters = F.when((lb - la >= 0) & (lb - la <= LETTER_CAP), cased(F.transform(F.sequence(la, F.greatest(la, lb)), lambda x: F.char(x))))
-    roman_ends = is_roman(start) & is_roman(end)
-    return (
-        F.when((start == "") | (end == "") | start.isNull() | end.isNull(), F.lit(None).cast("array<string>"))
-        .when(both(r"^\d+$"), digits)
-        .when(~one_case, F.lit(None).cast("array<string>"))
-        .when(roman_ends & ((F.char_length(start) > 1) | (F.char_length(end) > 1)), romans)
-        .when(both("^[A-Za-z]$") & ~roman_ends, letters)
-    )
+
+    def members(x: Column) -> Column:
+        a, b = x["a"], x["b"]
+        both = lambda rx: a.rlike(rx) & b.rlike(rx)
+        romans = both("(?i)^[ivxlcdm]+$")
+        axis = (
+            F.when(both(r"^\d{1,18}$"), "digits")
+            .when(both(r"^\d{1,37}$"), "decimals")
+            .when((F.upper(a) == a) != (F.upper(b) == b), None)
+            .when(romans, F.when((F.char_length(a) > 1) | (F.char_length(b) > 1), "romans"))
+            .when(both("^[A-Za-z]$"), "letters")
+        )
+        kinds = {
+            "digits": (lambda c: c.try_cast("long"), lambda n: n.cast("string"), 0, RANGE_CAP),
+            "romans": (lambda c: roman_value(c).cast("long"), lambda n: int_to_roman(n.cast("int")), 1, RANGE_CAP),
+            "letters": (lambda c: F.ascii(F.lower(c)).cast("long"), F.char, 0, LETTER_CAP),
+        }
+
+        def listed(kind: str) -> Column:
+            value, label, least, most = kinds[kind]
+            fits = lambda v: F.when((v["z"] - v["y"]).between(least, most), F.sequence(v["y"], F.greatest(v["y"], v["z"])))
+            names = F.transform(bind(F.struct(value(a).alias("y"), value(b).alias("z")), fits), label)
+            return names if kind == "digits" else F.when(F.upper(a) == a, F.transform(names, F.upper)).otherwise(names)
+
+        decimal = lambda c: c.try_cast("decimal(38,0)")
+        gap = decimal(b) - decimal(a)
+        far = F.when(gap.between(0, RANGE_CAP), F.transform(F.sequence(F.lit(0), gap.try_cast("int")), lambda i: (decimal(a) + i).cast("decimal(38,0)").cast("string")))
+        out = lambda k: F.when(k == "decimals", far).when(k == "digits", listed("digits")).when(k == "romans", listed("romans")).when(k == "letters", listed("letters"))
+        return bind(axis, out)
+
+    return bind(F.struct(start.alias("a"), end.alias("b")), members)
 
 
 def sort_key(target: Column) -> Column:

@@ -1,22 +1,45 @@
-"""References to other documents: statutes, codes, orders, circulars, forms, links."""
+"""References to other documents: statutes, codes, orders, circulars, forms, links.
+
+What a recognised form means is data: ``KINDS`` says for each how its target, label and levels are spelt from
+the groups of its pattern, and one reader makes the expressions.
+"""
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skein.functions.text import norm, slug, text_of
+from skein.functions.text import bind, norm, slug, text_of
+
+
+@dataclass(frozen=True)
+class Kind:
+    """A form of citation.  In a spelling ``{2}`` is the second group, and a part in brackets falls away if its group is empty."""
+
+    name: str
+    pattern: str
+    ref_type: str
+    target: str
+    label: str
+    levels: tuple[str, ...]
+    locator: int = 0
+
 
-# The recognised forms, in order of precedence.  Groups are read by number.
-PATTERNS = [
-    ("usc_chapter", r"(?i)(\d+)\s+U\.S\.C\.\s+chapter\s+(\d+)"),
-    ("usc", r"(\d+)\s+U\.S\.C\.\s*(\d+[A-Za-z]?)((?:\([A-Za-z0-9]+\))*)"),
-    ("cfr", r"(?i)(\d+)\s+CFR\s+(?:part\s+)?(\d+)(?:\.(\d+))?((?:\([A-Za-z0-9]+\))*)"),
-    ("eo", r"(?i)(?:E\.O\.|Executive\s+Order)\s+(\d+)"),
-    ("public_law", r"(?i)(?:Pub\.\s*L\.|Public\s+Law)\s+(?:No\.?\s*)?(\d+)-(\d+)"),
-    ("omb", r"(?i)OMB\s+Circular\s+(?:No\.?\s*)?([A-Z])-(\d+)"),
+# The recognised forms, in order of precedence.
+KINDS = [
+    Kind("usc_chapter", r"(?i)(\d+)\s+U\.S\.C\.\s+chapter\s+(\d+)", "usc", "usc:{1}/ch{2}", "{1} U.S.C. chapter {2}", ("{1}", "chapter", "{2}")),
+    Kind("usc", r"(\d+)\s+U\.S\.C\.\s*(\d+[A-Za-z]?)((?:\([A-Za-z0-9]+\))*)", "usc", "usc:{1}/{2}", "{1} U.S.C. {2}", ("{1}", "{2}"), 3),
+    Kind("cfr", r"(?i)(\d+)\s+CFR\s+(?:part\s+)?(\d+)(?:\.(\d+))?((?:\([A-Za-z0-9]+\))*)", "cfr", "cfr:{1}/{2}[.{3}]", "{1} CFR {2}[.{3}]", ("{1}", "{2}", "{3}"), 4),
+    Kind("eo", r"(?i)(?:E\.O\.|Executive\s+Order)\s+(\d+)", "eo", "eo:{1}", "E.O. {1}", ("{1}",)),
+    Kind("public_law", r"(?i)(?:Pub\.\s*L\.|Public\s+Law)\s+(?:No\.?\s*)?(\d+)-(\d+)", "public_law", "publ:{1}-{2}", "Pub. L. {1}-{2}", ("{1}", "{2}")),
+    Kind("omb", r"(?i)OMB\s+Circular\s+(?:No\.?\s*)?([A-Z])-(\d+)", "omb", "omb:{1}-{2}", "OMB Circular {1}-{2}", ("{1}", "{2}")),
 ]
+# A government form, and the series that the first letter of its name stands for.
 FORM = r"(?i)\b(Standard Form|SF|Optional Form|OF|DD Form|DD)\s*-?\s*(\d+[A-Za-z]?)\b"
+SERIES = {"s": "SF", "o": "OF", "d": "DD"}
 REF = "struct<ref_type:string,target:string,locator:string,node_label:string,division_levels:array<string>,citation:string>"
 
 
@@ -25,59 +48,56 @@ def parens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(r"\(([A-Za-z0-9]+)\)"), F.lit(1))
 
 
-def _ref(kind, target, locator, label, levels, citation) -> Column:  # noqa: ANN001
-    return F.struct(F.lit(kind).alias("ref_type") if isinstance(kind, str) else kind.alias("ref_type"), target.alias("target"), locator.alias("locator"), label.alias("node_label"), levels.alias("division_levels"), citation.alias("citation"))
+def reference(ref_type: Column | str, target: Column, levels: Column, label: Column, citation: Column, locator: Column | str = "") -> Column:
+    """An edge's description, as ``REF``."""
+    lit = lambda c: F.lit(c) if isinstance(c, str) else c
+    return F.struct(lit(ref_type).alias("ref_type"), target.alias("target"), lit(locator).alias("locator"), label.alias("node_label"), levels.alias("division_levels"), citation.alias("citation"))
 
 
-def build(name: str, match: Column, citation: Column) -> Column:
+def _spelt(spelling: str, group) -> Column:  # noqa: ANN001
+    """The text of a spelling: literals, groups, and parts that need their group."""
+    out = []
+    for part, number, literal in re.findall(r"\[([^\]]*)\]|\{(\d)\}|([^\[{]+)", spelling):
+        if part:
+            need = group(int(re.search(r"\{(\d)\}", part)[1]))
+            out.append(F.when(need != "", _spelt(part, group)).otherwise(F.lit("")))
+        else:
+            out.append(group(int(number)) if number else F.lit(literal))
+    return out[0] if len(out) == 1 else F.concat(*out)
+
+
+def build(kind: Kind, match: Column, citation: Column) -> Column:
     """The edge of one matched form."""
-    rx = dict(PATTERNS)[name]
-    g = lambda i: F.regexp_extract(match, rx, i)
-    none, text = F.lit(""), F.concat
-    if name == "usc_chapter":
-        return _ref("usc", text(F.lit("usc:"), g(1), F.lit("/ch"), g(2)), none, text(g(1), F.lit(" U.S.C. chapter "), g(2)), F.array(g(1), F.lit("chapter"), g(2)), citation)
-    if name == "usc":
-        return _ref("usc", text(F.lit("usc:"), g(1), F.lit("/"), g(2)), g(3), text(g(1), F.lit(" U.S.C. "), g(2)), F.concat(F.array(g(1), g(2)), parens(g(3))), citation)
-    if name == "cfr":
-        part = F.when(g(3) != "", text(g(2), F.lit("."), g(3))).otherwise(g(2))
-        levels = F.concat(F.array(g(1), g(2)), F.when(g(3) != "", F.array(g(3))).otherwise(F.expr("cast(array() as array<string>)")), parens(g(4)))
-        return _ref("cfr", text(F.lit("cfr:"), g(1), F.lit("/"), part), g(4), text(g(1), F.lit(" CFR "), part), levels, citation)
-    if name == "eo":
-        return _ref("eo", text(F.lit("eo:"), g(1)), none, text(F.lit("E.O. "), g(1)), F.array(g(1)), citation)
-    pre, label = ("publ:", "Pub. L. ") if name == "public_law" else ("omb:", "OMB Circular ")
-    pair = text(g(1), F.lit("-"), g(2))
-    return _ref(name, text(F.lit(pre), pair), none, text(F.lit(label), pair), F.array(g(1), g(2)), citation)
-
-
-def _bind(value: Column, f) -> Column:  # noqa: ANN001
-    """f(value) with the value computed once: a lambda variable keeps large expressions small."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
+    group = lambda i: F.regexp_extract(match, kind.pattern, i)
+    locator = group(kind.locator) if kind.locator else ""
+    levels = F.filter(F.array(*[_spelt(x, group) for x in kind.levels]), lambda x: x != "")
+    return reference(kind.ref_type, _spelt(kind.target, group), F.concat(levels, parens(locator)) if kind.locator else levels, _spelt(kind.label, group), citation, locator)
 
 
 def parse_external(c: Column) -> Column:
     """The first form, in order of precedence, that occurs in the text; null if none does."""
-
-    def first(s: Column) -> Column:
-        return F.coalesce(*[F.when(s.rlike(rx), build(name, F.regexp_extract(s, rx, 0), s)) for name, rx in PATTERNS])
-
-    return _bind(norm(c), first)
+    found = lambda s, k: F.when(s.rlike(k.pattern), bind(F.regexp_extract(s, k.pattern, 0), lambda m: build(k, m, s)))
+    return bind(norm(c), lambda s: F.coalesce(*[found(s, k) for k in KINDS]))
 
 
 def parse_form(c: Column) -> Column:
     """A government form named in the text; null if none is."""
-    s = text_of(c)
-    w = F.lower(F.regexp_extract(s, FORM, 1))
-    series = F.when(w.startswith("standard") | w.startswith("sf"), "SF").when(w.startswith("optional") | w.startswith("of"), "OF").otherwise("DD")
+    s, shown = text_of(c), F.trim(text_of(c))
+    letters = F.create_map(*[F.lit(x) for kv in SERIES.items() for x in kv])
+    series = letters[F.lower(F.substring(F.regexp_extract(s, FORM, 1), 1, 1))]
     number = F.regexp_extract(s, FORM, 2)
-    return F.when(s.rlike(FORM), _ref("form", F.concat(F.lit("form:"), series, F.lit("-"), number), F.lit(""), F.trim(s), F.array(series, number), F.trim(s)))
+    return F.when(s.rlike(FORM), reference("form", F.concat(F.lit("form:"), series, F.lit("-"), number), F.array(series, number), shown, shown))
 
 
 def build_edge(document: Column, section: Column, fallback: Column) -> Column:
-    """An edge from a document and section typed by hand; unknown documents become a slug."""
+    """An edge from a document and section typed by hand.
+
+    A recognised form in both together, apart, or in the document alone decides, under the section typed;
+    an unknown document becomes a slug of its type.
+    """
     doc, sec = F.trim(text_of(document)), F.trim(text_of(section))
-    kind = F.when(text_of(fallback) == "", F.lit("other")).otherwise(fallback)
-    parsed = F.coalesce(parse_external(F.concat(doc, sec)), parse_external(F.trim(F.concat(doc, F.lit(" "), sec))), parse_external(doc))
-    placed = F.when(parsed.isNotNull() & (sec != ""), parsed.withField("locator", sec)).otherwise(parsed)
-    cite = F.when(kind == "act", F.when(sec != "", F.concat(F.lit("section "), sec, F.lit(" of the "), doc)).otherwise(doc)).otherwise(F.concat(doc, sec))
-    own = _ref(kind, F.concat(kind, F.lit(":"), slug(doc)), sec, doc, F.concat(F.array(doc), F.regexp_extract_all(sec, F.lit(r"\d+|[A-Za-z]+"), F.lit(0))), cite)
-    return F.coalesce(placed, own)
+    kind = F.coalesce(F.nullif(text_of(fallback), F.lit("")), F.lit("other"))
+    known = F.coalesce(*[parse_external(x) for x in (F.concat(doc, sec), F.trim(F.concat(doc, F.lit(" "), sec)), doc)])
+    named = F.when(kind != "act", F.concat(doc, sec)).when(sec == "", doc).otherwise(F.concat(F.lit("section "), sec, F.lit(" of the "), doc))
+    own = reference(kind, F.concat(kind, F.lit(":"), slug(doc)), F.concat(F.array(doc), F.regexp_extract_all(sec, F.lit(r"\d+|[A-Za-z]+"), F.lit(0))), doc, named, sec)
+    return F.coalesce(F.when(sec == "", known).otherwise(known.withField("locator", sec)), own)

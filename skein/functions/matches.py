@@ -1,7 +1,7 @@
 """Regular-expression matches with offsets (R12), on built-in expressions.
 
-Spark returns matches without places.  One ``regexp_extract_all`` call for the gaps and one for the
-matches give alternating pieces whose running lengths, in code points, are the offsets.
+Spark returns matches without places.  One ``regexp_replace`` sets marks around every match; the text splits
+at the marks, and the running lengths of the parts, in code points, are the offsets.
 """
 
 from __future__ import annotations
@@ -9,7 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from skein.functions.text import bind
+
 _OUT = "array<struct<start:int,end:int,match:string>>"
+#: Marks in front of and behind a match; where a text holds them itself, another control character stands in.
+_OPEN, _CLOSE, _OTHER = "\x01", "\x02", "\x03"
 
 
 def finditer(text: Column, pattern: str) -> Column:
@@ -17,20 +21,23 @@ def finditer(text: Column, pattern: str) -> Column:
 
     The pattern may hold groups and look-around; groups are read again from ``match`` by the caller.
     """
-    flags, body = ("(?i)", pattern[4:]) if pattern.startswith("(?i)") else ("", pattern)
-    # The gap is group 1 and the match group 2; the pattern's own groups shift by two.
-    shifted = body
-    for i in range(9, 0, -1):
-        shifted = shifted.replace(f"\\{i}", f"\\{i + 2}")
-    cut = F.lit(rf"{flags}([\s\S]*?)(?:({shifted})|\z)")
     none = F.expr(f"cast(array() as {_OUT})")
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.char_length(x["g"])
-        e = s + F.char_length(x["h"])
-        one = F.struct(s.alias("start"), e.alias("end"), x["h"].alias("match"))
-        return F.struct(e.alias("at"), F.when(x["h"] != "", F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+    def places(t: Column, marked: Column) -> Column:
+        def step(acc: Column, part: Column) -> Column:
+            # a part is a match, its end mark and the gap behind it
+            size = F.instr(part, _CLOSE) - 1
+            end = acc["at"] + size
+            one = F.struct(acc["at"].alias("start"), end.alias("end"), F.substring(t, acc["at"] + 1, size).alias("match"))
+            return F.struct((acc["at"] + F.char_length(part) - 1).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        parts = F.split(marked, _OPEN, -1)
+        first = F.struct(F.char_length(F.get(parts, F.lit(0))).alias("at"), none.alias("out"))
+        return F.aggregate(F.slice(parts, 2, 1 << 30), first, step, lambda a: a["out"])
+
+    def found(t: Column) -> Column:
+        own = F.when(F.contains(t, F.lit(_OPEN)) | F.contains(t, F.lit(_CLOSE)), F.translate(t, _OPEN + _CLOSE, _OTHER * 2)).otherwise(t)
+        marked = F.regexp_replace(own, f"(?:{pattern})" if not pattern.startswith("(?i)") else f"(?i)(?:{pattern[4:]})", f"{_OPEN}$0{_CLOSE}")
+        return bind(marked, lambda m: F.when(F.contains(m, F.lit(_OPEN)), places(t, m)).otherwise(none))
 
-    pieces = F.zip_with(F.regexp_extract_all(text, cut, F.lit(1)), F.regexp_extract_all(text, cut, F.lit(2)), lambda g, h: F.struct(g.alias("g"), h.alias("h")))
-    found = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), found).otherwise(none)
+    return F.coalesce(bind(text, found), none)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def text_of(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value computed once: a lambda variable keeps large expressions small."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def norm(c: Column) -> Column:
     """Runs of white space become one space; ends trimmed; null is ''."""
     return F.trim(F.regexp_replace(text_of(c), WS + "+", " "))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.functions.citation import alternate_number, grammar_ok, norm_citation, section_root, split_alternate, strip_agency
+from skein.functions.citation import alternate_number, grammar_ok, norm_citation, section_root, sort_key, split_alternate, strip_agency
 from skein.functions.external import parse_external
 from skein.functions.text import text_of
 
@@ -42,7 +42,7 @@ def last_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def validate(df: DataFrame, addresses: DataFrame, target: str = "target") -> DataFrame:
     """``validation`` - invalid by grammar, resolves if target or root is an address, else not_loaded."""
     small = addresses.select("address").distinct()
-    if small.count() <= BROADCAST_ADDRESSES:
+    if small.limit(BROADCAST_ADDRESSES + 1).count() <= BROADCAST_ADDRESSES:
         small = F.broadcast(small)
     whole = small.select(F.col("address").alias("_a"), F.lit(True).alias("_hit_a"))
     root = small.select(F.col("address").alias("_b"), F.lit(True).alias("_hit_b"))
@@ -59,8 +59,7 @@ def status_of(parser: Column, kind: Column, llm: Column) -> Column:
 
 def parser_internal(edges: DataFrame) -> DataFrame:
     """Parser edges (unit, pos, target, alternate, confidence, evidence) under their normal form, first wins."""
-    t = norm_citation(F.col("target"))
-    e = edges.select("unit", t.alias("target"), alternate_number(F.col("alternate")).alias("alternate"), "pos", F.coalesce("confidence", F.lit("inferred")).alias("kind"), text_of(F.col("evidence")).alias("evidence"))
+    e = edges.select("unit", norm_citation(F.col("target")).alias("target"), alternate_number(F.col("alternate")).alias("alternate"), "pos", F.coalesce("confidence", F.lit("inferred")).alias("kind"), text_of(F.col("evidence")).alias("evidence"))
     return first_wins(e.where(t_ok()), ["unit", "target", "alternate"], ["pos"])
 
 
@@ -72,9 +71,11 @@ def t_ok() -> Column:
 def finder_internal(findings: DataFrame) -> DataFrame:
     """Findings (unit, pos, target, evidence, scope, alternate) that are internal, in normal form, first wins."""
     f = findings.where((text_of(F.col("scope")) != "external") & (text_of(F.col("target")) != ""))
+    named = F.lower("target").contains("alternate")
     parts = split_alternate(F.col("target"))
-    own = F.when(text_of(F.col("alternate")) != "", F.col("alternate")).otherwise(parts["alternate"])
-    e = f.select("unit", norm_citation(parts["base"]).alias("target"), alternate_number(own).alias("alternate"), "pos", text_of(F.col("evidence")).alias("evidence"))
+    base = F.when(named, parts["base"]).otherwise(F.col("target"))
+    own = F.when(text_of(F.col("alternate")) != "", F.col("alternate")).when(named, parts["alternate"])
+    e = f.select("unit", norm_citation(base).alias("target"), alternate_number(own).alias("alternate"), "pos", text_of(F.col("evidence")).alias("evidence"))
     return first_wins(e.where(t_ok()), ["unit", "target", "alternate"], ["pos"])
 
 
@@ -107,6 +108,44 @@ def ledger(internal: DataFrame, external: DataFrame) -> DataFrame:
     return internal.unionByName(external, allowMissingColumns=True)
 
 
+def findings_of(units: DataFrame, findings: DataFrame) -> DataFrame:
+    """Every unit with its findings, or with none."""
+    return units.join(findings, "unit", "left")
+
+
+def ledger_order(ledger_: DataFrame) -> list[Column]:
+    """Units in natural order; in a unit internal rows by natural order and alternate, then external ones as text."""
+    inside = F.col("scope") == "internal"
+    unit = sort_key(strip_agency(F.col("unit")))
+    return [unit, "unit", F.when(inside, 0).otherwise(1), F.when(inside, sort_key(F.col("target"))), F.when(inside, text_of(F.col("alternate"))), "target", text_of(F.col("locator"))]
+
+
+def overlap(parser: DataFrame, finder: DataFrame, key: list[str]) -> dict[str, DataFrame]:
+    """Keys of both finders, of the parser alone, of the other alone, as set operations."""
+    p, f = parser.select(*key), finder.select(*key)
+    return {"corroborated": p.intersect(f), "parser_only": p.subtract(f), "llm_only": f.subtract(p)}
+
+
+def attach_verdicts(ledger_: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The judge's choice, value and rationale on the internal rows that it was asked about; null elsewhere.
+
+    ``verdicts``: unit, target, alternate, choice, value, rationale, one a key.
+    """
+    v = verdicts.select("unit", "target", "alternate", F.struct("choice", F.coalesce("value", F.expr("cast(array() as array<string>)")).alias("value"), text_of(F.col("rationale")).alias("rationale")).alias("_v"))
+    asked = F.col("needs_review") & (F.col("scope") == "internal")
+    return ledger_.drop("judge").join(v, ["unit", "target", "alternate"], "left").withColumn("judge", F.when(asked, F.col("_v"))).drop("_v")
+
+
+def page_rows(ledger_: DataFrame, statuses: list[str], scopes: list[str]) -> DataFrame:
+    """what a review page shows: rows of the chosen statuses and scopes, a missing scope being internal."""
+    return ledger_.where(F.col("status").isin(statuses) & F.coalesce("scope", F.lit("internal")).isin(scopes))
+
+
+def unit_status_counts(ledger_: DataFrame) -> DataFrame:
+    """Rows and rows to review of each unit and status."""
+    return ledger_.groupBy("unit", "status").agg(F.count("*").alias("n"), F.count_if("needs_review").alias("to_review"))
+
+
 def status_counts(ledger_: DataFrame) -> DataFrame:
     """A2: the four counters, zeros included."""
     return ledger_.agg(*[F.count_if(F.col("status") == s).alias(s) for s in STATUSES])

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.citation import NUMBER, alternate_number, enumerate_tokens, href_to_citation
-from skein.functions.external import PATTERNS, REF, build, parse_external, parse_form
+from skein.functions.citation import NUMBER, RANGE_CAP, alternate_number, enumerate_tokens, href_to_citation
+from skein.functions.external import KINDS, REF, Kind, build, parse_external, parse_form
 from skein.functions.matches import finditer
-from skein.functions.text import norm, text_of, window
+from skein.functions.text import bind, norm, text_of, window
 
 # Evidence before and after, qualifier reach, search for a range's base, alternate reach.
 BEFORE, AFTER, QUALIFIER, BASE, ALTERNATE = 90, 75, 40, 120, 250
@@ -23,6 +23,7 @@ RANGE_PAREN = rf"(?i)(?:{NUMBER})?\s*{_LABELS}\s*{_SEP}\s*(?:{NUMBER})?\s*{_LABE
 _PAREN_PARTS = rf"(?i)^({NUMBER})?\s*({_LABELS})\s*{_SEP}\s*({NUMBER})?\s*({_LABELS})$"
 RANGE_DASH = r"(?i)(\d+\.\d+)-\d+\s*(?:through|thru|to|–|—|\s-\s)\s*(?:\1-)?\d+(?!\.\d)"
 _DASH_PARTS = r"(?i)^(\d+\.\d+)-(\d+)\s*(?:through|thru|to|–|—|\s-\s)\s*(?:\1-)?(\d+)$"
+TYPED_DASH = rf"(?i)^(\d+\.\d+)-(\d+)\s*{_SEP}\s*(?:\d+\.\d+-)?(\d+)$"
 SELF = r"paragraphs?\s+\([a-z0-9]+\)(?:\([a-z0-9]+\))*\s+of this section"
 ALT_OF = r"(?i)\bAlternate\s+([IVXLCDM]+)\s*(?:\([^)]*\)\s*)?of\s*$"
 ALT_WITH = r"(?i)\bwith\s+Alternate\s+([IVXLCDM]+)\b"
@@ -75,33 +76,71 @@ def explicit_mentions(t: Column, anchors: Column, prefix: str) -> Column:
 
 
 def _mentions(targets: Column, evidence: Column) -> Column:
-    return F.transform(targets, lambda x: F.struct(x.alias("target"), F.lit("").alias("alternate"), F.lit("inferred").alias("kind"), evidence.alias("evidence")))
+    """A mention of each target, all with one evidence."""
+    one = lambda e: F.transform(targets, lambda x: F.struct(x.alias("target"), F.lit("").alias("alternate"), F.lit("inferred").alias("kind"), e.alias("evidence")))
+    return bind(evidence, one)
+
+
+def _parts(match: Column, pattern: str, n: int) -> Column:
+    """The groups of a match of the whole text, as an array."""
+    return F.split(F.regexp_replace(match, pattern, "\x01".join(f"${i + 1}" for i in range(n))), "\x01", -1)
+
+
+def range_targets(x: Column, base: Column) -> Column:
+    """Members of a parenthetical range from its parts (number, labels, number, labels); null if unsafe.
+
+    The labels before the last are a prefix that both ends share.
+    """
+    groups = lambda c: F.regexp_extract_all(c, F.lit(r"\(([A-Za-z0-9]+)\)"), F.lit(1))
+    part = lambda i: F.get(x, F.lit(i))
+
+    def named(e: Column) -> Column:
+        fixed, over = F.slice(e["left"], 1, F.size(e["left"]) - 1), F.slice(e["right"], 1, F.size(e["right"]) - 1)
+        members = F.when((F.size(over) == 0) | (over == fixed), enumerate_tokens(F.element_at(e["left"], -1), F.element_at(e["right"], -1)))
+        head = F.concat(base, F.array_join(F.transform(fixed, lambda y: F.concat(F.lit("("), y, F.lit(")"))), ""))
+        return bind(head, lambda h: F.transform(members, lambda y: F.concat(h, F.lit("("), y, F.lit(")"))))
+
+    return bind(F.struct(groups(part(1)).alias("left"), groups(part(3)).alias("right")), named)
+
+
+def dash_targets(x: Column, least: int) -> Column:
+    """Members of a dashed range from its parts (number, first, last); null if too long or falling."""
+    ends = F.struct(F.get(x, F.lit(1)).try_cast("long").alias("a"), F.get(x, F.lit(2)).try_cast("long").alias("b"))
+    fits = lambda e: F.when((e["b"] - e["a"]).between(least, RANGE_CAP), F.sequence(e["a"], F.greatest(e["a"], e["b"])))
+    return F.transform(bind(ends, fits), lambda n: F.concat(F.get(x, F.lit(0)), F.lit("-"), n.cast("string")))
 
 
 def range_mentions(t: Column, number: Column) -> Column:
     """Every member of every parenthetical or dashed range."""
-    groups = lambda c: F.regexp_extract_all(c, F.lit(r"\(([A-Za-z0-9]+)\)"), F.lit(1))
     none = F.expr(f"cast(array() as {MENTION})")
 
+    def spread(pattern: str, targets):  # noqa: ANN001, ANN202
+        hits = F.transform(finditer(t, pattern), lambda m: bind(targets(m), lambda x: F.when(x.isNotNull(), _mentions(x, _around(t, m["start"], m["end"]))).otherwise(none)))
+        return F.flatten(hits)
+
     def paren(m: Column) -> Column:
-        g = lambda i: F.regexp_extract(m["match"], _PAREN_PARTS, i)
-        left, right = groups(g(2)), groups(g(4))
-        fixed, over = F.slice(left, 1, F.size(left) - 1), F.slice(right, 1, F.size(right) - 1)
-        seen = F.regexp_extract_all(_piece(t, F.greatest(m["start"] - BASE, F.lit(0)), m["start"]), F.lit(f"({NUMBER})"), F.lit(1))
-        base = F.when(g(1) != "", g(1)).when(g(3) != "", g(3)).when(F.size(seen) > 0, F.element_at(seen, -1)).otherwise(number)
-        head = F.concat(base, F.array_join(F.transform(fixed, lambda x: F.concat(F.lit("("), x, F.lit(")"))), ""))
-        members = enumerate_tokens(F.element_at(left, -1), F.element_at(right, -1))
-        targets = F.transform(members, lambda x: F.concat(head, F.lit("("), x, F.lit(")")))
-        safe = (F.size(over) == 0) | (over == fixed)
-        return F.when(safe & members.isNotNull(), _mentions(targets, _around(t, m["start"], m["end"]))).otherwise(none)
-
-    def dash(m: Column) -> Column:
-        g = lambda i: F.regexp_extract(m["match"], _DASH_PARTS, i)
-        a, b = g(2).try_cast("long"), g(3).try_cast("long")
-        targets = F.transform(F.sequence(a, F.greatest(a, b)), lambda n: F.concat(g(1), F.lit("-"), n.cast("string")))
-        return F.when((b - a > 0) & (b - a <= 40), _mentions(targets, _around(t, m["start"], m["end"]))).otherwise(none)
-
-    return F.concat(F.flatten(F.transform(finditer(t, RANGE_PAREN), paren)), F.flatten(F.transform(finditer(t, RANGE_DASH), dash)))
+        before = F.regexp_extract_all(_piece(t, F.greatest(m["start"] - BASE, F.lit(0)), m["start"]), F.lit(f"({NUMBER})"), F.lit(1))
+        own = lambda x, i: F.nullif(F.get(x, F.lit(i)), F.lit(""))
+        return bind(_parts(m["match"], _PAREN_PARTS, 4), lambda x: range_targets(x, F.coalesce(own(x, 0), own(x, 2), F.try_element_at(before, F.lit(-1)), number)))
+
+    dash = lambda m: bind(_parts(m["match"], _DASH_PARTS, 3), lambda x: dash_targets(x, 1))
+    return F.concat(spread(RANGE_PAREN, paren), spread(RANGE_DASH, dash))
+
+
+def expand_typed(raw: Column, base: Column) -> Column:
+    """Q15: a typed list of citations and ranges as single citations; what is no range stays as it is.
+
+    ``base`` is the unit that a range without a number belongs to.  Here a dashed range may have one member
+    and a bare hyphen between its ends.
+    """
+
+    def one(piece: Column) -> Column:
+        parens = bind(_parts(piece, _PAREN_PARTS, 4), lambda x: range_targets(x, F.coalesce(F.nullif(F.get(x, F.lit(0)), F.lit("")), F.nullif(F.get(x, F.lit(2)), F.lit("")), base)))
+        dashes = bind(_parts(piece, TYPED_DASH, 3), lambda x: dash_targets(x, 0))
+        return F.coalesce(F.when(piece.rlike(_PAREN_PARTS), parens).when(piece.rlike(TYPED_DASH), dashes), F.array(piece))
+
+    pieces = F.filter(F.transform(F.split(text_of(raw), ","), lambda x: F.trim(x)), lambda x: x != "")
+    return F.flatten(F.transform(pieces, one))
 
 
 def self_mentions(t: Column, number: Column) -> Column:
@@ -122,10 +161,10 @@ def internal_mentions(t: Column, anchors: Column, number: Column, prefix: str) -
 def external_mentions(t: Column, anchors: Column) -> Column:
     """Statutory forms in prose, then tagged external links: array<struct<ref, href, kind, evidence>>."""
 
-    def mention(name: str):  # noqa: ANN202
-        return lambda m: F.struct(build(name, m["match"], norm(m["match"])).alias("ref"), F.lit("").alias("href"), F.lit("inferred").alias("kind"), _around(t, m["start"], m["end"]).alias("evidence"))
+    def mention(kind: Kind):  # noqa: ANN202
+        return lambda m: F.struct(build(kind, m["match"], norm(m["match"])).alias("ref"), F.lit("").alias("href"), F.lit("inferred").alias("kind"), _around(t, m["start"], m["end"]).alias("evidence"))
 
-    prose = [F.transform(finditer(t, rx), mention(name)) for name, rx in PATTERNS]
+    prose = [F.transform(finditer(t, k.pattern), mention(k)) for k in KINDS]
 
     def link(x: Column) -> Column:
         anchor, href = norm(_piece(t, x["start"], x["end"])), text_of(x["href"])

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from skein.functions import citation as ci
 from skein.functions import external as ex
 from skein.functions import text as tx
-from skein.operators import audit, refs
+from skein.operators import audit, order, refs
 from skein.operators import reconcile as rc
-
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
+from skein.plans.registry import QUERIES, SQL, dealt, query
+from skein.plans.registry import s as _s
+from skein.sources import tables, topics
 
 # The white-space class, as SQL text.
 _WS = tx.WS
@@ -26,26 +26,12 @@ def _norm(column: str) -> str:
     return f"trim(regexp_replace({column}, '{_WS}+', ' ', 'g'))"
 
 
-def query(name: str, sql: str | None = None) -> Callable:
-    def keep(f: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Callable:
-        _QUERIES[name] = lambda spark, sf_dir: f(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
-        if sql:
-            _SQL[name] = sql
-        return f
-
-    return keep
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-def _s(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+    return dict(SQL)
 
 
 # ------------------------------------------------------------------ scalar functions
@@ -202,7 +188,7 @@ def _(t):
     k = F.col("o_orderkey")
     base = F.concat(_s(k % 53 + 1), F.lit("."), _s(k % 900 + 100))
     text = F.concat(F.lit("as required by "), base, F.lit("(a)("), _s(k % 5), F.lit(") through (a)("), _s(k % 5 + k % 6), F.lit(") of this chapter"))
-    return t("orders").select("o_orderkey", F.explode(refs.range_mentions(text, F.lit("1.100"))).alias("m")).select("o_orderkey", "m.target")
+    return dealt(t("orders")).select("o_orderkey", F.explode(refs.range_mentions(text, F.lit("1.100"))).alias("m")).select("o_orderkey", "m.target")
 
 
 @query(
@@ -213,7 +199,7 @@ def _(t):
     k = F.col("o_orderkey")
     base = F.concat(_s(k % 53 + 1), F.lit("."), _s(k % 900 + 100))
     text = F.concat(F.lit("see "), base, F.lit("-"), _s(k % 5 + 1), F.lit(" through "), base, F.lit("-"), _s(k % 5 + k % 6 + 2), F.lit(" here"))
-    return t("orders").select("o_orderkey", F.explode(refs.range_mentions(text, F.lit("1.100"))).alias("m")).select("o_orderkey", "m.target")
+    return dealt(t("orders")).select("o_orderkey", F.explode(refs.range_mentions(text, F.lit("1.100"))).alias("m")).select("o_orderkey", "m.target")
 
 
 @query("self_paragraph", "select o_orderkey, '5.201(' || chr(97 + (o_orderkey % 26)::integer) || ')(' || (o_orderkey % 9) || ')' as target from orders")
@@ -244,14 +230,36 @@ def _links(t) -> DataFrame:
 _LINKS = f"(select page_id, unnest(range(len(h)))::integer as pos, unnest(h) as href from (select page_id, regexp_extract_all(html, '{_HREF}', 1) as h from pages))"
 
 
-@query("link_extract_internal", f"select page_id, pos, href from {_LINKS} where not starts_with(href, 'http') and not starts_with(href, 'mailto')")
+def _scopes(t) -> DataFrame:
+    """A scope for each page: every link of it as an anchor 'LINK'; every second one leads outside, every seventh is a form."""
+    href = F.regexp_extract_all("html", F.lit(_HREF), F.lit(1))
+    far = lambda x, i: F.when(i % 2 == 1, F.concat(F.lit("https://host.invalid"), x, F.lit("/"))).otherwise(F.concat(F.lit("t.xml#REG_"), (i + 1).cast("string"), F.lit("_"), F.char_length(x).cast("string")))
+    word = lambda i: F.when(i % 7 == 1, F.concat(F.lit("SF "), i.cast("string"))).otherwise(F.lit("LINK"))
+    pages = t("pages").select("page_id", F.transform(href, lambda x, i: F.struct(far(x, i).alias("href"), word(i).alias("shown"), F.lpad(i.cast("string"), 4, "0").alias("mark"))).alias("links"))
+    none = F.expr("cast(array() as array<struct<href:string,scope:string,start:int,end:int>>)")
+
+    def step(acc, x):  # noqa: ANN001, ANN202
+        start = F.char_length(acc["text"]) + 9  # the mark keeps the windows of evidence apart
+        one = F.struct(x["href"].alias("href"), F.lit("").alias("scope"), start.alias("start"), (start + F.char_length(x["shown"])).alias("end"))
+        return F.struct(F.concat(acc["text"], x["mark"], F.lit(" see "), x["shown"], F.lit("; " + "-" * 180 + " ")).alias("text"), F.concat(acc["anchors"], F.array(one)).alias("anchors"))
+
+    return pages.select("page_id", F.aggregate("links", F.struct(F.lit("").alias("text"), none.alias("anchors")), step).alias("x")).select(F.col("page_id").alias("chunk_id"), F.col("x.text").alias("scope_text"), F.col("x.anchors").alias("anchors"), F.lit("1.100").alias("number"))
+
+
+@query("link_extract_internal", f"select page_id as chunk_id, pos // 2 as pos, (pos + 1) || '.' || length(href) as target, 'explicit' as kind from {_LINKS} where pos % 2 = 0")
 def _(t):
-    return _links(t).where(~F.col("href").startswith("http") & ~F.col("href").startswith("mailto"))
+    m = refs.explicit_mentions(F.col("scope_text"), F.col("anchors"), "REG")
+    return _scopes(t).select("chunk_id", F.posexplode(m).alias("pos", "m")).select("chunk_id", "pos", "m.target", "m.kind")
+
+
+_OUTSIDE = f"""(select page_id as chunk_id, pos, 'https://host.invalid' || href || '/' as href, case when pos % 7 = 1 then 'form:SF-' || pos else rtrim('https://host.invalid' || href, '/') end as target,
+  case when pos % 7 = 1 then 'form' else 'url' end as ref_type, case when pos % 7 = 1 then 'SF ' || pos else 'LINK' end as label from {_LINKS} where pos % 2 = 1)"""
 
 
-@query("link_extract_external", f"select page_id, pos, rtrim(href, '/') as target from {_LINKS} where starts_with(href, 'http')")
+@query("link_extract_external", f"select chunk_id, pos // 2 as pos, target, ref_type, label, href from {_OUTSIDE}")
 def _(t):
-    return _links(t).where(F.col("href").startswith("http")).select("page_id", "pos", F.regexp_replace("href", "/+$", "").alias("target"))
+    m = refs.external_mentions(F.col("scope_text"), F.col("anchors"))
+    return _scopes(t).select("chunk_id", F.posexplode(m).alias("pos", "m")).select("chunk_id", "pos", "m.ref.target", "m.ref.ref_type", F.col("m.ref.node_label").alias("label"), "m.href")
 
 
 @query("anchor_qualifier", "select p_partkey, '(' || (p_partkey % 9) || ')(' || chr(97 + (p_partkey % 26)::integer) || ')' as q from part")
@@ -310,14 +318,10 @@ def _(t):
     return g.select("page_id", "target", F.col("pos").alias("first_pos"), F.size("mentions").cast("long").alias("mentions"), F.array_join(F.transform("mentions", lambda x: x["evidence"]), ",").alias("places"))
 
 
-@query("group_external_dedup", f"select page_id, rtrim(href, '/') as target, min(pos) as first_pos, 1::bigint as mentions from {_LINKS} where starts_with(href, 'http') group by page_id, rtrim(href, '/')")
+@query("group_external_dedup", f"select chunk_id, target, ref_type, min(pos) // 2 as first_pos, arg_min(label, pos) as label, arg_min(href, pos) as href, count(*) as mentions from {_OUTSIDE} group by chunk_id, target, ref_type")
 def _(t):
-    x = _links(t).where(F.col("href").startswith("http"))
-    target = F.regexp_replace("href", "/+$", "")
-    none = F.expr("cast(array() as array<string>)")
-    ref = F.struct(F.lit("url").alias("ref_type"), target.alias("target"), F.lit("").alias("locator"), target.alias("node_label"), none.alias("division_levels"), target.alias("citation"))
-    g = refs.group_external(x.select("page_id", "pos", ref.alias("ref"), "href", F.lit("explicit").alias("kind"), target.alias("evidence")), ["page_id"])
-    return g.select("page_id", "target", F.col("pos").alias("first_pos"), F.size("mentions").cast("long").alias("mentions"))
+    g = refs.external_edges(_scopes(t))
+    return g.select("chunk_id", "target", "ref_type", F.col("pos").alias("first_pos"), F.col("node_label").alias("label"), "href", F.size("mentions").cast("long").alias("mentions"))
 
 
 # ------------------------------------------------------------------ reconciliation
@@ -331,7 +335,7 @@ def _cite_sql(n: str) -> str:
 
 def _sides(t) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Two finders over line items: one reads part keys, the other supplier keys; orders are the units."""
-    li = t("lineitem")
+    li = dealt(t("lineitem"))
     unit = F.concat(F.lit("REG-"), _cite(F.col("l_orderkey") % 5000)).alias("unit")
     place = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos")
     p = li.select(unit, place, _cite(F.col("l_partkey")).alias("target"), F.lit("").alias("alternate"), F.when(F.col("l_linenumber") % 2 == 1, "explicit").otherwise("inferred").alias("confidence"), _s("l_partkey").alias("evidence"))
@@ -361,7 +365,7 @@ def _(t):
 
 @query("ledger_status_counts", f"with {_LEDGER} select unit, status, count(*) as n, count(*) filter (needs_review) as to_review from ledger group by unit, status")
 def _(t):
-    return _ledger(t).groupBy("unit", "status").agg(F.count("*").alias("n"), F.count_if("needs_review").alias("to_review"))
+    return rc.unit_status_counts(_ledger(t))
 
 
 @query("status_histogram", f"with {_LEDGER} select " + ", ".join(f"count(*) filter (status = '{s}') as {s}" for s in rc.STATUSES) + " from ledger")
@@ -402,7 +406,7 @@ def _(t):
 
 
 def _ext_sides(t) -> tuple[DataFrame, DataFrame]:
-    li = t("lineitem")
+    li = dealt(t("lineitem"))
     unit = F.concat(F.lit("REG-"), _s(F.col("l_orderkey") % 3000)).alias("unit")
     place = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos")
     usc = lambda n: F.concat(_s(n % 50 + 1), F.lit(" U.S.C. "), _s(n % 90 + 1))
@@ -472,30 +476,28 @@ def _(t):
 
 
 # ------------------------------------------------------------------ coverage, change track, usage
-@query(
-    "coverage_fragments",
-    """with f as (select doc_id as unit, unnest(string_split(text, chr(10))) as fragment, length(regexp_replace(lower(substr(text, 1, n_chars // 2)), '[^a-z0-9]', '', 'g')) as half, regexp_replace(lower(substr(text, 1, n_chars // 2)), '[^a-z0-9]', '', 'g') as o from documents),
-  g as (select *, regexp_replace(lower(fragment), '[^a-z0-9]', '', 'g') as sig from f)
-  select unit, sum(length(sig))::bigint as source, coalesce(sum(length(sig)) filter (not contains(o, sig)), 0)::bigint as missing from g where sig <> '' group by unit""",
-)
-def _(t):
-    c = _coverage(t)
-    return c.groupBy("unit").agg(F.sum("size").cast("long").alias("source"), F.coalesce(F.sum(F.when(F.col("missing"), F.col("size"))), F.lit(0)).cast("long").alias("missing"))
+# A document's lines are the fragments of a unit, and the first half of its text stands for the unit's output.
+_SIG = lambda c: f"regexp_replace(lower({c}), '[^a-z0-9]', '', 'g')"
+_COVERED = f"""with f as (select doc_id as unit, unnest(range(len(string_split(text, chr(10)))))::integer as nth, unnest(string_split(text, chr(10))) as fragment, {_SIG("substr(text, 1, n_chars // 2)")} as o from documents),
+  g as (select unit, nth, fragment, length({_SIG("fragment")}) as size, not contains(o, {_SIG("fragment")}) as missing from f where {_SIG("fragment")} <> ''),
+  u as (select unit, sum(size)::bigint as source, coalesce(sum(size) filter (missing), 0)::bigint as missing, count(*) filter (missing and size >= 4) as dropped from g group by unit)"""
 
 
 def _coverage(t) -> DataFrame:
-    d = t("documents")
-    f = d.select(F.col("doc_id").alias("unit"), F.explode(F.split("text", "\n", -1)).alias("fragment"), F.lit("p").alias("tag"))
+    d = dealt(t("documents"))
+    tag = F.when(F.col("at") % 2 == 1, "p (tail)").otherwise("p")
+    f = d.select(F.col("doc_id").alias("unit"), F.posexplode(F.split("text", "\n", -1)).alias("at", "fragment")).withColumn("tag", tag)
     return audit.coverage(f, d.select(F.col("doc_id").alias("unit"), F.substring(F.col("text"), F.lit(1), F.floor(F.col("n_chars") / 2).cast("int")).alias("text")))
 
 
-_COVERED = """with f as (select doc_id as unit, unnest(string_split(text, chr(10))) as fragment, regexp_replace(lower(substr(text, 1, n_chars // 2)), '[^a-z0-9]', '', 'g') as o from documents),
-  g as (select unit, fragment, length(regexp_replace(lower(fragment), '[^a-z0-9]', '', 'g')) as size, not contains(o, regexp_replace(lower(fragment), '[^a-z0-9]', '', 'g')) as missing from f where regexp_replace(lower(fragment), '[^a-z0-9]', '', 'g') <> '')"""
+@query("coverage_fragments", _COVERED + " select unit, source, missing, dropped from u")
+def _(t):
+    return audit.unit_gaps(_coverage(t)).select("unit", F.col("source").cast("long").alias("source"), F.col("missing").cast("long").alias("missing"), "dropped")
 
 
-@query("coverage_summary", _COVERED + " select sum(size)::bigint as source, coalesce(sum(size) filter (missing), 0)::bigint as missing, count(*) filter (missing and size >= 4) as gaps from g")
+@query("coverage_summary", _COVERED + " select count(*) as units, sum(source)::bigint as source, sum(missing)::bigint as missing, count(*) filter (dropped > 0) as gaps, round(100.0 * (1 - sum(missing) / sum(source)), 2)::double as percent from u")
 def _(t):
-    return audit.coverage_summary(_coverage(t)).select(F.col("source").cast("long").alias("source"), F.col("missing").cast("long").alias("missing"), "gaps")
+    return audit.coverage_summary(_coverage(t)).select("units", F.col("source").cast("long").alias("source"), F.col("missing").cast("long").alias("missing"), "gaps", F.round("percent", 2).alias("percent"))
 
 
 @query("dropped_census", _COVERED + " select 'p' as tag, count(*) as count from g where missing and size >= 4 having count(*) > 0")
@@ -503,9 +505,15 @@ def _(t):
     return audit.dropped_tags(_coverage(t))
 
 
-@query("topk_gaps", _COVERED + " select unit, sum(size)::bigint as missing from g where missing group by unit order by missing desc, unit limit 25")
+@query(
+    "topk_gaps",
+    _COVERED + f""", k as (select unit, source, missing from u where dropped > 0 order by missing desc, unit limit 25),
+  e as (select g.unit, k.source, k.missing, case when nth % 2 = 1 then 'p (tail)' else 'p' end || '=' || substr({_norm("fragment")}, 1, 70) as shown, row_number() over (partition by g.unit order by nth) as n from g join k on g.unit = k.unit where g.missing and size >= 4)
+  select unit, source, missing, string_agg(shown, '|' order by n) as examples from e where n <= 4 group by unit, source, missing""",
+)
 def _(t):
-    return audit.top_gaps(_coverage(t)).select("unit", F.col("missing").cast("long").alias("missing"))
+    shown = F.array_join(F.transform("examples", lambda x: F.concat(x["tag"], F.lit("="), x["text"])), "|")
+    return audit.top_gaps(_coverage(t)).select("unit", F.col("source").cast("long").alias("source"), F.col("missing").cast("long").alias("missing"), shown.alias("examples"))
 
 
 @query("change_span_containment", "select item_id, contains(text, substr(text, 5, 20)) and item_id % 3 <> 0 as ok from benchmark")
@@ -534,15 +542,6 @@ def _(t):
     return z.select("conv_id", "at", "turn", F.coalesce(F.char_length("answer"), F.lit(-1)).alias("answer"))
 
 
-@query("alt_span_sessionise", "with s as (select conv_id, turn, sum(case when role = 'user' then 1 else 0 end) over (partition by conv_id order by turn) as span from conversations) select conv_id, span::bigint as span, count(*) as turns, min(turn) as opens from s where span > 0 group by conv_id, span")
-def _(t):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    s = t("conversations").withColumn("span", F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(w))
-    return s.where("span > 0").groupBy("conv_id", "span").agg(F.count("*").alias("turns"), F.min("turn").alias("opens"))
-
-
 @query("interval_containment", "select l_orderkey, l_linenumber, p.pre from lineitem l join (select o_orderkey, o_orderkey % 3 + 1 as pre, o_orderkey % 3 + 3 as post from orders) p on l.l_orderkey = p.o_orderkey and l_linenumber between pre and post")
 def _(t):
     inner = t("lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("at"))
@@ -555,11 +554,9 @@ def _(t):
     "select c, row_number() over (order by a, b, n) as rank from (select distinct (p_partkey % 40 + 1) || '.' || (p_partkey % 300 + 100) || '(a)(' || (p_partkey % 12 + 1) || ')' as c, p_partkey % 40 as a, p_partkey % 300 as b, p_partkey % 12 as n from part)",
 )
 def _(t):
-    from pyspark.sql import Window
-
     k = F.col("p_partkey")
     c = t("part").select(F.concat(_cite(k), F.lit("(a)("), _s(k % 12 + 1), F.lit(")")).alias("c")).distinct()
-    return c.select("c", F.row_number().over(Window.orderBy(ci.sort_key(F.col("c")))).alias("rank"))
+    return order.ranked(c, F.slice(ci.sort_key(F.col("c")), 1, 3), [ci.sort_key(F.col("c"))])
 
 
 @query("paginate_units", "select o_orderkey, ((row_number() over (partition by o_custkey order by o_orderkey) - 1) // 12)::integer as page from orders")
@@ -600,18 +597,26 @@ def _(t):
     return t("orders").select("o_orderkey", tx.cache_key(F.lit("m"), "1", "audit", _s("o_orderkey")).alias("key"))
 
 
-@query("base_unit_limit", "select o_orderkey, o_custkey from orders order by o_custkey, o_orderkey limit 100")
+@query("base_unit_limit", "select o_orderkey, (o_custkey % 40 + 1) || '.' || (o_custkey % 300 + 100) as number from orders order by o_custkey % 40, o_custkey % 300, lpad(cast(o_orderkey as varchar), 12, '0') limit 100")
 def _(t):
-    return t("orders").orderBy("o_custkey", "o_orderkey").limit(100).select("o_orderkey", "o_custkey")
+    none = F.expr("cast(array() as array<string>)")
+    chunks = t("orders").select("o_orderkey", _cite(F.col("o_custkey")).alias("number"), F.lpad(_s("o_orderkey"), 12, "0").alias("file"), F.lit(0).alias("emit"), none.alias("tokens"), F.lit("").alias("alternate"), F.lit("section").alias("type"))
+    return topics.first_units(chunks, 100).select("o_orderkey", "number")
 
 
 @query("json_props", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
 def _(t):
-    return t("events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+    return t("events").select("event_id", tables.typed(F.col("props"), "k long")["k"].alias("k"))
 
 
 @query("tolerant_json", "select event_id, 2 * cast(json_extract_string(props, '$.k') as bigint) as k from events")
 def _(t):
-    answer = F.concat(F.lit("Sure:\n```json\n["), "props", F.lit("] ["), "props", F.lit("]\n```"))
+    k = F.col("event_id")
+    twice = F.concat(F.lit("["), "props", F.lit("] ["), "props", F.lit("]"))
+    fenced, inner = F.concat(F.lit("```json\n"), twice, F.lit("\n```")), F.concat(F.lit('[{"k": 1, "a": "use ```json x``` here ["}, '), "props", F.lit("] [{\"k\": -1}, "), "props", F.lit("]"))
+    answer = F.when(k % 3 == 0, F.concat(F.lit("Sure [: "), twice, F.lit(" done"))).when(k % 3 == 1, fenced).otherwise(inner)
     p = audit.parse_answers(t("events").select("event_id", answer.alias("answer")), "answer", "array<struct<k:long>>")
     return p.select("event_id", F.aggregate("parsed", F.lit(0).cast("long"), lambda a, x: a + x["k"]).alias("k"))
+
+
+from skein.plans import topic_catalogue  # noqa: E402, F401 - registers the queries over topics

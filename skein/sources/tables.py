@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MENTIONS = "array<struct<kind:string,evidence:string>>"
@@ -19,6 +19,11 @@ LEDGER = (
 )
 
 
+def typed(c: Column, schema: str) -> Column:
+    """A JSON text as a value of an explicit schema; what does not fit is null."""
+    return F.from_json(c, schema)
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A JSON array or JSON lines with an explicit schema."""
     return spark.read.schema(schema).option("multiLine", True).json(path)

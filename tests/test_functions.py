@@ -53,9 +53,9 @@ def test_addresses(spark):
 
 
 def test_order(spark):
-    shuffled = ["5.202(b)", "subpart 9.4", "5.202(a)(11)", "5.202(a)(4)", "5.202(a)(1)", "5.202"]
-    df = spark.createDataFrame([(x,) for x in shuffled], "t string").orderBy(ci.sort_key(F.col("t")))
-    assert [r.t for r in df.collect()] == ["5.202", "5.202(a)(1)", "5.202(a)(4)", "5.202(a)(11)", "5.202(b)", "subpart 9.4"]
+    want = ["7.3", "7.103", "7.103(c)(2)(v)", "7.103(c)(2)(ix)", "7.103(c)(10)", "7.103-9", "7.103-12", "12.5", "part 3", "subpart 11.2"]
+    df = spark.createDataFrame([(x,) for x in sorted(want)], "t string").orderBy(ci.sort_key(F.col("t")))
+    assert [r.t for r in df.collect()] == want
 
 
 @pytest.mark.parametrize(
@@ -87,10 +87,48 @@ def test_finditer_offsets(spark):
     assert [(m.start, m.end, m.match) for m in got] == [(5, 7, "12"), (10, 13, "345")]
 
 
-def test_tolerant_json():
-    assert audit.tolerant_json('[] [{"a": 1}]') == '[{"a": 1}]'
-    assert audit.tolerant_json('Sure ```json\n[{"a": 2}]\n```') == '[{"a": 2}]'
-    assert audit.tolerant_json("no json") is None
+@pytest.mark.parametrize(
+    ("answer", "want"),
+    [('[] [{"a": 1}]', '[{"a": 1}]'), ('Sure ```json\n[{"a": 2}]\n```', '[{"a": 2}]'), ("no json", None), ("", None), (None, None), ('```json\n[{"a": 3}]\n```', '[{"a": 3}]'), ('[{"a": "use ```json x``` here"}]', '[{"a": "use ```json x``` here"}]'),
+     ('[1] [ {"a": 2}, 3', '[1]'), ('{} {"b": 1} {"c": 2}', '{"b": 1}'), ("[[1], [2]] [3]", "[[1], [2],3]"), ("[" * 5000, None), ("{} {}", "{}")],
+)
+def test_answers(spark, answer, want):
+    assert one(spark, audit.merged_json(F.array(*map(L, audit.json_values(answer or ""))).cast("array<string>"))) == want
+
+
+def test_parsed_answers(spark):
+    df = spark.createDataFrame([('x [{"a": 1}] [{"a": 2}]',), ("none",), (None,)], "answer string")
+    assert [[x.a for x in r.parsed] if r.parsed else None for r in audit.parse_answers(df, "answer", "array<struct<a:int>>").collect()] == [[1, 2], None, None]
+
+
+def test_long_labels_never_stop_a_job(spark):
+    n = "9999999999999999999"
+    for t, want in [(f"5.201({n}8) through ({n}9)", [f"5.201({n}8)", f"5.201({n}9)"]), (f"5.201({n * 2}8) to ({n * 2}9)", []), (f"6.302-{n}8 to 6.302-{n}9", [])]:
+        assert [m.target for m in one(spark, refs.range_mentions(L(t), L("5.201")))] == want
+
+
+def test_gaps(spark):
+    rows = [("u", 0, "p", "Zeta  said"), ("u", 1, "note", "lost words"), ("u", 2, "p (tail)", "a b"), ("u", 3, "p", "another"), ("u", 4, "x", "fourth one"), ("u", 5, "x", "fifth"), ("u", 6, "x", "y" * 99), ("v", 0, "p", "a-b"), ("w", 0, "p", "x")]
+    frag = spark.createDataFrame(rows, "unit string, at int, tag string, fragment string")
+    out = spark.createDataFrame([("u", "zeta SAID"), ("v", "-")], "unit string, text string")
+    cov = audit.coverage(frag, out)
+    top = audit.top_gaps(cov, shown=3).collect()
+    assert [(r.unit, r.missing, [tuple(x) for x in r.examples]) for r in top] == [("u", 131, [("note", "lost words"), ("p", "another"), ("x", "fourth one")])]
+    s = audit.coverage_summary(cov).first()
+    assert (s.units, s.missing, s.gaps, s.percent) == (2, 133, 1, round(100 * (1 - 133 / 141), 4))
+    assert {r.tag: r["count"] for r in audit.dropped_tags(cov).collect()} == {"x": 3, "note": 1, "p": 1}
+    assert audit.coverage_summary(cov.limit(0)).first().percent == 100.0
+
+
+@pytest.mark.parametrize(("raw", "want"), [(" 5.202(a) - (c), 9.1 ,, x", ["5.202(a)", "5.202(b)", "5.202(c)", "9.1", "x"]), ("(a)-(b)", ["1.5(a)", "1.5(b)"]), ("6.302-1-3", ["6.302-1", "6.302-2", "6.302-3"]), ("(a)(1)-(b)(3)", ["(a)(1)-(b)(3)"]), ("6.3-9 to 6.3-1", ["6.3-9 to 6.3-1"]), (None, [])])
+def test_typed(spark, raw, want):
+    assert one(spark, refs.expand_typed(L(raw).cast("string"), L("1.5"))) == want
+
+
+def test_alternates_in_targets(spark):
+    for s, want in [("52.204-30AlternateII", ("52.204-30", "II")), ("5.1 Alternate iv ", ("5.1", "IV")), ("5.1 Alternate", ("5.1 Alternate", ""))]:
+        p = ci.split_alternate(L(s))
+        assert (one(spark, p["base"]), one(spark, p["alternate"])) == want
 
 
 def test_cost(spark):

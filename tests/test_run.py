@@ -90,7 +90,7 @@ def test_manifest_and_missing(spark, files):
 def test_map_changes_and_sinks(spark, tmp_path):
     assert topics.parse_map('<map rev=" E 1 "><topicref href="a.dita"/><topicref href="a.dita"/><topicref href="b.txt"/></map>') == ("E 1", ["a.dita"])
     lsa = '<concept><table otherprops="LSA"><title>Edition 1</title><tgroup><tbody><row><entry><p><xref outputclass="fm:ParaNumOnly">5.201</xref> <xref>(b) (2)</xref></p></entry><entry><p>Did a</p><p>thing</p></entry><entry><xref href="http://x">Case 1</xref></entry></row><row><entry/><entry/></row></tbody></tgroup></table></concept>'
-    e = topics.change_entries(lsa, ShredConfig())
+    e = topics.changelog(spark.createDataFrame([(lsa,), ("<x/>",), ("<broken",), (None,)], "raw string"), ShredConfig()).collect()
     assert len(e) == 1 and (e[0]["section"], e[0]["paragraphs"], e[0]["description"], e[0]["case_number"], e[0]["source_version"]) == ("5.201", ["(b)(2)"], "Did a thing", "Case 1", "Edition 1")
     df = spark.range(2).withColumn("é", F.lit("x"))
     tables.write_json_array(df, str(tmp_path / "o.json"))
@@ -101,6 +101,60 @@ def test_map_changes_and_sinks(spark, tmp_path):
     assert tables.read_decisions(spark, [str(tmp_path / "d.json")] * 2).count() == 4
 
 
+def test_run_and_its_tables(spark, files, built, tmp_path):
+    out = str(tmp_path / "out")
+    usage = spark.createDataFrame([("audit", "u", 1, 2, 3, 6, True)], tables.USAGE)
+    _, missing = topics.scan_files(spark, files, ["9.999"])
+    run.write_run(built, out, usage=usage, missing=missing)
+    read = lambda n, kind="json": spark.read.format(kind).load(f"{out}/{n}")
+    assert read("chunks", "parquet").count() == built.chunks.count() and read("ledger", "parquet").count() == built.ledger.count()
+    m = {r.file: r.outcome for r in read("manifest").collect()}
+    assert m["9.999"] == "skipped" and m["5.201"] == "processed"
+    s = read("summary").first()
+    assert s.rows == built.ledger.count() and s.cache_hits == max(0, s.units - 1) and s.to_review == built.ledger.where("needs_review").count()
+    d = [("REG-5.201", "internal", "6.302", "", "", "corroborated", "reject", None, None, None, 0, 0), ("REG-5.201", "internal", "9.1", "", "", "added", "accept", None, None, None, 0, 1)]
+    run.write_applied(built, spark.createDataFrame(d, tables.DECISION + ", file_idx int, item_idx int"), out)
+    a = read("applied").first()
+    assert (a.added, a.removed) == (1, 1)
+    assert read("verified_internal", "parquet").where("target = '9.1' and status = 'human_approved'").count() == 1
+    built.close()
+
+
+def test_address_cache_follows_the_files(spark, files, tmp_path):
+    cfg, path = ShredConfig(), str(tmp_path / "map")
+    all_ = topics.scan_folder(spark, files)
+    first = {r.address for r in run.cached_addresses(spark, all_, cfg, path).collect()}
+    assert "5.201" in first and first == {r.address for r in run.cached_addresses(spark, all_, cfg, path).collect()}
+    less = {r.address for r in run.cached_addresses(spark, all_.where("file <> '5.201'"), cfg, path).collect()}
+    assert less and not {"5.201", "5.201(a)"} & less
+    assert len(list((tmp_path / "map").iterdir())) == 2
+
+
+def test_config_precedence(tmp_path, monkeypatch):
+    (tmp_path / "c.json").write_text('{"a": 2, "b": 2, "c": 2}')
+    monkeypatch.setenv("SKEIN_B", "3")
+    monkeypatch.setenv("SKEIN_C", "3")
+    assert run.load_config({"a": 1, "b": 1, "c": 1, "d": 1}, str(tmp_path / "c.json"), overrides={"c": 4, "d": None}) == {"a": 2, "b": "3", "c": 4, "d": 1}
+
+
+def test_map_scan(spark):
+    maps = spark.createDataFrame([("m", '<map rev=" E "><topicref href="d/b.dita"/><topicref href="a.dita"/><topicref href="d/b.dita"/><topicref href="c.dita"/></map>'), ("broken", "<map>")], "file string, raw string")
+    have = spark.createDataFrame([("f:/x/a.dita", "a", "A"), ("f:/x/d/b.dita", "b", "B")], "path string, file string, raw string")
+    found, gone = topics.scan_map(topics.map_entries(maps), have)
+    assert [(r.edition, r.place, r.raw) for r in topics.ordered(found).orderBy("pos").collect()] == [("E", 0, "B"), ("E", 1, "A")]
+    assert [(r.file, r.skip_reason) for r in gone.collect()] == [("c.dita", "not found")]
+
+
+def test_usage_stream_by_window(spark, tmp_path):
+    from skein.streaming.editions import usage_by_window
+
+    rows = spark.createDataFrame([("audit", 5, 0), ("audit", 6, 30), ("judge", 1, 700)], "stage string, total long, sec long").selectExpr("stage", "total", "timestamp_seconds(sec) as at")
+    rows.write.parquet(str(tmp_path / "in"))
+    q = usage_by_window(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))).writeStream.format("memory").queryName("usage_windows").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {(r.stage, r.calls, r.total) for r in spark.table("usage_windows").collect()} == {("audit", 2, 11), ("judge", 1, 1)}
+
+
 def test_strip_alternates(spark):
     raw = spark.createDataFrame([(CLAUSE,)], "raw string").select(topics.strip_alternates(F.col("raw")).alias("x")).first().x
     assert "Alternate" not in raw and "basic provision" in raw
