@@ -17,11 +17,14 @@ _OWN_ROOT: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir`` where the session has it.
 
-    Where it is unset (tests, a single machine) a temporary local folder stands in.
+    Where it is unset a temporary local folder stands in, on a single machine only: on a cluster every
+    executor would write to its own disk, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_ROOT:
         _OWN_ROOT[app] = "file://" + tempfile.mkdtemp(prefix="skein-scratch-")
@@ -148,9 +151,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """Smallest reachable id of every vertex that has an edge: columns ``id``, ``component``.
 
     Alternating large-star and small-star steps: each step is a partial-aggregated ``min`` per
-    vertex and a join back, so a vertex with very many edges is combined before the exchange, and
-    the join's large partitions can be split at run time.  Every round is written to the shared
-    scratch folder.  Null endpoints and loops are ignored; an empty input gives an empty result.
+    vertex and a join back, so a vertex with very many edges is combined before the exchange.  The
+    minima are written before the join, so both sides of it are plain reads: the engine broadcasts
+    the minima while they are small and else splits the partition of a vertex with very many edges.
+    Every round is written to the shared scratch folder.  Null endpoints and loops are ignored; an
+    empty input gives an empty result.
     """
     e = (
         edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
@@ -160,9 +165,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     e = materialize(e, "edges")
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m0")).select("u", F.least("u", "m0").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m0")).select("u", F.least("u", "m0").alias("m")), "minima")
+        # in the joins below an edge (u, v) has v < u: turned round, v meets its minimum
+        large = e.select(F.col("v").alias("_v"), F.col("u").alias("_u")).join(low.select(F.col("u").alias("_v"), "m"), "_v").select(F.col("_u").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = materialize(large, "large")
+        low2 = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
         small = (
             large.join(low2, "u")
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
@@ -173,7 +180,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         new = materialize(small, "edges")
         print_of = lambda d: d.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         same = tuple(print_of(new)) == tuple(print_of(e))
-        discard(e)
+        discard(e, low, large, low2)
         e = new
         if same:
             break

@@ -12,7 +12,8 @@ Signatures are banded; texts that share a band are candidates, and weighted Jacc
 multisets decides.  A group of copies is never turned into all its pairs: identical multisets collapse
 first; then candidates are taken in rounds - each text against the smallest id it meets anywhere, then
 against the pivot of each bucket, then block against block in the families of classes that still share
-buckets - and every round leaves out what earlier links have already joined.
+buckets - and every round leaves out what earlier links have already joined.  Identical texts never enter
+the graph of links: they find their representative by its key.
 """
 
 from __future__ import annotations
@@ -302,10 +303,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     sig = materialize(signed(src), "signed")
     usable = sig.where("n > 0 and _id is not null")
     keys = materialize(usable.groupBy("key").agg(F.min("_id").alias("rep")), "keys")
-    same = usable.select("_id", "key").join(keys, "key").where("_id <> rep").select(F.col("rep").alias("a"), F.col("_id").alias("b"))
-    same = materialize(same, "copies")
-    copies = same.select(F.col("b").alias("_id"))
-    n_copies = same.count()
+    # Identical texts are stars already: one of them stands for all, and only such representatives enter the graph.
+    of = materialize(usable.select("_id", "key").join(keys, "key").groupBy("_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")), "representatives")
+    same_id = of.where("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b"))  # rows of one id with different texts
+    copies = of.where("_id <> rep").select("_id")
+    n_copies = copies.count()
     reps = usable.join(F.broadcast(copies) if n_copies <= BROADCAST_IDS else copies, "_id", "left_anti")
     members = reps.select("_id", "n", F.explode("bands").alias("bucket"))
     pivots = members.groupBy("bucket").agg(F.min("_id").alias("p"), F.count("*").alias("k")).where("k > 1").select("bucket", "p")
@@ -314,7 +316,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     # Round 1: each text against the smallest pivot of all its buckets.
     first = mem.where("_id <> p").groupBy(F.col("_id").alias("b")).agg(F.min("p").alias("a")).select("a", "b")
     known = _check(src, materialize(first, "pairs"), threshold)
-    links = same.unionByName(known.where("ok").select("a", "b"))
+    links = same_id.unionByName(known.where("ok").select("a", "b"))
     # Round 2: the members of a bucket that belong to another class than its pivot against the pivot.
     left = _mixed(mem, materialize(connected_components(links), "components"))
     of_pivot = left.where("_id = p").select("bucket", F.col("c").alias("pc"))
@@ -325,7 +327,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     left = _mixed(mem, materialize(connected_components(links), "components"))
     links = links.unionByName(_families(src, left, threshold))
     comp = materialize(connected_components(links), "components")
-    classes = comp.withColumnRenamed("id", "_id")
-    out = src.select("_id").join(classes, "_id", "left")
+    found = of.select("_id", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("_id", F.coalesce("component", "rep").alias("component"))
+    out = src.select("_id").join(materialize(found, "found"), "_id", "left")
     cls = F.coalesce("component", "_id")
     return out.select(F.col("_id").alias(id_col), cls.alias("class_id"), F.coalesce(cls == F.col("_id"), F.lit(True)).alias("kept"))
