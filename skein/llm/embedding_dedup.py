@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import connected_components, forest, materialize
+from skein.llm.common import bounded_batches, connected_components, forest, materialize
 from skein.llm.neighbours import valid_vector
 
 THRESHOLD = 0.93
@@ -51,6 +51,11 @@ def _units(col: pa.Array, n: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def centre_distances(centres: np.ndarray) -> np.ndarray:
+    """Distance of every centre to every other, from their cosines."""
+    return np.sqrt(np.maximum(2.0 - 2.0 * (centres @ centres.T), 0.0))
+
+
 def visits(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(home cell, boolean matrix of the cells to visit, home included) of unit vectors.
 
@@ -59,10 +64,10 @@ def visits(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.nda
     """
     dots = x @ centres.T
     home = np.argmax(dots, axis=1)
-    gap = np.linalg.norm(centres[home][:, None, :] - centres[None, :, :], axis=2)
+    gap = centre_distances(centres)[home]
     lead = dots[np.arange(len(x)), home][:, None] - dots
-    reach = math.sqrt(max(0.0, 1 - threshold * threshold)) + 1e-9
-    go = lead <= reach * gap
+    reach = math.sqrt(max(0.0, 1 - threshold * threshold))
+    go = lead <= reach * gap + 1e-7  # a distance from cosines is exact to 1e-8; a visit too many costs only time
     go[np.arange(len(x)), home] = True
     return home, go
 
@@ -84,6 +89,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
+    bounded_batches(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).cast("string").alias("label"))
     ok = valid_vector(F.col("v")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = rows.withColumn("v", F.when(ok, F.transform("v", lambda x: x + F.lit(0.0))))  # -0.0 becomes 0.0
