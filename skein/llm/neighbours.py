@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import materialize
+from skein.llm.common import bounded_batches, materialize
 
-DIMS, CONFIDENCE = 8, 0.95
+DIMS, CONFIDENCE = 16, 0.95
 #: Rows of a cell aimed at, rows of a shard and queries of a block at most (on average), sample for the cuts.
 CELL_ROWS, SHARD_ROWS, BLOCK_QUERIES, SAMPLE_ROWS = 4096, 8192, 1024, 20_000
 MAX_DEPTH, LEAF = 12, 24
@@ -213,6 +213,7 @@ def nearest(
     if dims % 2:
         raise ValueError("dims must be even")
     quantile = chi_square_quantile(confidence, dims)
+    bounded_batches(vectors.sparkSession)
     v = vectors.where(valid_vector(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"), F.expr(is_query).alias("_q"))
     v = v.withColumn("size", F.size("embedding"))
     counts = {r["size"]: r["n"] for r in v.groupBy("size").agg(F.count("*").alias("n")).collect()}  # one row a vector length
