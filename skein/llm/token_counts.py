@@ -29,12 +29,12 @@ CACHE_WORDS = 400_000
 
 
 def read_pieces(model_path: str) -> tuple[list[tuple[str, float]], int]:
-    """(piece, score) in id order, and the unknown id.  Byte and control pieces match no text."""
+    """(piece, score) in id order, and the unknown id.  Byte and control pieces match no text: they are ''."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
-    n = sp.get_piece_size()
-    return [(sp.id_to_piece(i), sp.get_score(i)) for i in range(n)], sp.unk_id()
+    mute = lambda i: sp.is_byte(i) or sp.is_control(i) or sp.is_unused(i)
+    return [("" if mute(i) else sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())], sp.unk_id()
 
 
 class CountOnlyViterbi:
