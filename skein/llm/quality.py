@@ -3,8 +3,8 @@
 Every text becomes a short vector of surface features.  A pair sets a text of label 1 against one of
 label 0; the model's score difference gives the probability that the first is preferred, and the
 logistic loss on feature differences is minimised.  Pairs come from a bounded, documented sample of
-labelled rows.  A quantile of the sample's scores - the one at the share of label 0 - is the border,
-and scores are mapped so that the border lies at ``threshold``.
+labelled rows.  A quantile of the scores of all labelled rows - the one at the share of label 0 - is the
+border, and scores are mapped so that the border lies at ``threshold``.
 """
 
 from __future__ import annotations
@@ -23,6 +23,10 @@ from skein.llm.common import bounded_batches
 SAMPLE_ROWS = 20_000
 #: Preference pairs drawn from the sample.
 PAIRS = 60_000
+#: Bins of the histogram of raw scores that the border is read from.
+BINS = 20_000
+#: Labelled rows up to this many are broadcast to the texts; more are joined by id, without the texts.
+BROADCAST_LABELS = 1_000_000
 
 _MARKS = "!*$&%#|@~^<>{}[]=+_\\/"
 FEATURES = 25
@@ -110,14 +114,37 @@ class BradleyTerry:
         self.slope = 1.0 / max(float(np.percentile(s, 75) - np.percentile(s, 25)), 1e-6)
         return self
 
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -8, 8) @ self.w
+
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        """Bin of each raw score: they lie within eight times the sum of the weights' sizes."""
+        reach = 8.0 * np.abs(self.w).sum() + 1e-9
+        return np.clip((self.raw(x) + reach) * (BINS / (2 * reach)), 0, BINS - 1).astype(np.int32)
+
+    def set_border(self, rows: dict[int, tuple[int, int]]) -> None:
+        """Put the border at the quantile of the share of label 0, from bin -> (rows, rows of label 0)."""
+        reach, bad, seen = 8.0 * np.abs(self.w).sum() + 1e-9, sum(b for _, b in rows.values()), 0
+        if not 0 < bad < sum(n for n, _ in rows.values()):
+            return
+        order = sorted(rows)
+        for i, k in enumerate(order):
+            seen += rows[k][0]
+            if seen >= bad:
+                above = order[i + 1] if i + 1 < len(order) else k + 1
+                self.border = float((k + 1 + above) / 2 * (2 * reach / BINS) - reach)  # between this bin and the next that holds a row
+                return
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        raw = np.clip((x - self.mean) / self.scale, -8, 8) @ self.w
-        t = np.clip((raw - self.border) * self.slope * 2, -30, 30) + np.log(self.threshold / (1 - self.threshold))
+        t = np.clip((self.raw(x) - self.border) * self.slope * 2, -30, 30) + np.log(self.threshold / (1 - self.threshold))
         return 1 / (1 + np.exp(-t))
 
 
 def train(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> BradleyTerry:
-    """Fit on at most ``sample_rows`` labelled rows; rows without a 0/1 label or an id take no part."""
+    """Fit on at most ``sample_rows`` labelled rows; rows without a 0/1 label or an id take no part.
+
+    The border comes from all labelled rows.
+    """
     bounded_batches(docs.sparkSession)
     lab = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_y")).distinct()
     picked = lab.orderBy(F.xxhash64("_id"), "_y").limit(sample_rows)  # a bounded top-k, not a full sort
@@ -132,9 +159,25 @@ def train(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_row
     m = BradleyTerry(threshold)
     if got:
         m.fit(np.array([r["x"] for r in got]), np.array([r["_y"] for r in got]))
+        m.set_border({r["bin"]: (r["n"], r["bad"]) for r in _histogram(docs, lab, m, id_col, text_col).collect()})  # a row a bin at most
     return m
 
 
+def _histogram(docs: DataFrame, lab: DataFrame, model: BradleyTerry, id_col: str, text_col: str) -> DataFrame:
+    """``bin``, ``n``, ``bad``: all labelled rows by bin of their raw score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array([features(t.as_py()) for t in b.column(0)]).reshape(-1, FEATURES)
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(model.bins(x))], ["_id", "bin"])
+
+    src = docs.select(F.col(text_col).cast("string").alias("_text"), F.col(id_col).cast("long").alias("_id"))
+    if lab.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
+        src = src.join(F.broadcast(lab.select("_id").distinct()), "_id", "left_semi").select("_text", "_id")
+    scored = src.mapInArrow(run, "_id long, bin int").join(lab, "_id")
+    return scored.groupBy("bin").agg(F.count("*").alias("n"), F.count_if(F.col("_y") == 0).alias("bad"))
+
+
 def score(docs: DataFrame, model: BradleyTerry, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """``docs`` with a column ``out_col`` in (0, 1).
 
