@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skein.functions.text import bind, norm, text_of
+from skein.functions.text import bind_sql, norm, text_of
 
 # Fixed values of the address grammar.
 NUMBER = r"\d+\.\d+(?:-\d+)?"
@@ -64,13 +64,8 @@ def href_to_citation(href: Column, prefix: str) -> Column:
 
 def norm_citation(c: Column) -> Column:
     """P9: 'subpart'/'part' references keep the last word; all others lose their spaces."""
-
-    def form(s: Column) -> Column:
-        word = lambda w: F.concat(F.lit(w + " "), F.substring_index(s, " ", -1))
-        low = F.lower(F.substring(s, 1, 7))
-        return F.when(low == "subpart", word("subpart")).when(low.startswith("part"), word("part")).otherwise(F.replace(s, F.lit(" "), F.lit("")))
-
-    return bind(norm(c), form)
+    word = "concat('{0} ', substring_index(r.s, ' ', -1))".format
+    return bind_sql(f"CASE WHEN lower(left(r.s, 7)) = 'subpart' THEN {word('subpart')} WHEN lower(left(r.s, 4)) = 'part' THEN {word('part')} ELSE replace(r.s, ' ', '') END", s=norm(c))
 
 
 def split_alternate(c: Column) -> dict[str, Column]:
@@ -96,18 +91,20 @@ def grammar_ok(c: Column) -> Column:
     return c.rlike(CITATION) | c.rlike(SUBPART) | c.rlike(PART)
 
 
+# The digits of roman numerals.
 _VALUES = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
+_DIGIT = "CASE d " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _VALUES.items()) + " ELSE 0 END"
 
 
-def roman_value(c: Column) -> Column:
-    """Value of a roman numeral in any case; other characters count 0; '' is 0."""
-    digits = F.transform(F.split(F.lower(text_of(c)), ""), lambda ch: sum((F.when(ch == k, v).otherwise(0) for k, v in _VALUES.items()), F.lit(0)))
+def roman_sql(of: str) -> str:
+    """Value of a roman numeral: from the right, a digit below the largest so far is taken away."""
+    digits = f"transform(split(reverse(lower({of})), ''), d -> {_DIGIT})"
+    return f"aggregate({digits}, struct(0 AS n, 0 AS top), (a, v) -> struct(a.n + IF(v < a.top, -v, v) AS n, greatest(a.top, v) AS top), a -> a.n)"
 
-    def step(acc: Column, v: Column) -> Column:
-        signed = F.when(v < acc["most"], -v).otherwise(v)
-        return F.struct((acc["sum"] + signed).alias("sum"), F.greatest(acc["most"], v).alias("most"))
 
-    return F.aggregate(F.reverse(digits), F.struct(F.lit(0).alias("sum"), F.lit(0).alias("most")), step, lambda a: a["sum"])
+def roman_value(c: Column) -> Column:
+    """Value of a roman numeral in any case; other characters count 0; '' is 0."""
+    return bind_sql(roman_sql("r.s"), s=text_of(c))
 
 
 def is_roman(c: Column) -> Column:
@@ -121,21 +118,40 @@ def roman_to_int(c: Column) -> Column:
 
 def alternate_number(c: Column) -> Column:
     """P11 for alternates: digits pass, roman numerals become arabic, anything without a value ''."""
-    worth = lambda s: bind(roman_value(s), lambda v: F.when(v != 0, v.cast("string")).otherwise(F.lit("")))
-    return bind(F.trim(text_of(c)), lambda s: F.when(s == "", s).when(s.rlike(r"^\d+$"), s).otherwise(worth(s)))
+    return bind_sql(f"CASE WHEN r.s = '' THEN '' WHEN r.s RLIKE '^[0-9]+$' THEN r.s ELSE coalesce(nullif(string({roman_sql('r.s')}), '0'), '') END", s=F.trim(text_of(c)))
+
+
+def to_roman_sql(n: str) -> str:
+    """Lower-case roman numeral of an integer, one decimal place at a time."""
+    places = []
+    for unit, (one, five, ten) in ((100, "cdm"), (10, "xlc"), (1, "ivx")):
+        d = f"(({n}) div {unit} % 10)"
+        places.append(f"CASE WHEN {d} = 9 THEN '{one}{ten}' WHEN {d} = 4 THEN '{one}{five}' ELSE concat(IF({d} > 4, '{five}', ''), repeat('{one}', int({d} % 5))) END")
+    return f"concat(repeat('m', int(({n}) div 1000)), {', '.join(places)})"
 
 
 def int_to_roman(n: Column) -> Column:
-    """Lower-case roman numeral of an integer from 0 (''), one decimal place at a time."""
-    out = F.lit("")
-    for unit, one, five, ten in ((1000, "m", "", ""), (100, "c", "d", "m"), (10, "x", "l", "c"), (1, "i", "v", "x")):
-        d = F.floor(n / unit).cast("int") if unit == 1000 else F.floor((n % (unit * 10)) / unit).cast("int")
-        if unit == 1000:
-            out = F.repeat(F.lit(one), d)
-            continue
-        piece = F.when(d == 9, one + ten).when(d >= 5, F.concat(F.lit(five), F.repeat(F.lit(one), d - 5))).when(d == 4, one + five).otherwise(F.repeat(F.lit(one), d))
-        out = F.concat(out, piece)
-    return out
+    """Lower-case roman numeral of an integer from 0 ('')."""
+    return bind_sql(to_roman_sql("r.n"), n=n)
+
+
+def members_sql(a: str, b: str) -> str:
+    """``enumerate_tokens`` of two SQL expressions."""
+    both = lambda rx: f"({a} RLIKE '{rx}' AND {b} RLIKE '{rx}')"
+    cased = lambda x: f"IF(upper({a}) = {a}, upper({x}), {x})"
+
+    def axis(start: str, end: str, least: int, most: int, label: str) -> str:
+        ends = f"struct(bigint({start}) AS lo, bigint({end}) AS hi)"
+        return f"get(transform(array({ends}), e -> CASE WHEN e.hi - e.lo BETWEEN {least} AND {most} THEN transform(sequence(e.lo, e.hi), n -> {label}) END), 0)"
+
+    number = "try_cast({} AS decimal(38, 0))".format
+    gap = f"({number(b)} - {number(a)})"
+    far = f"CASE WHEN {gap} BETWEEN 0 AND {RANGE_CAP} THEN transform(sequence(0, int({gap})), i -> string(cast({number(a)} + i AS decimal(38, 0)))) END"
+    return (
+        f"CASE WHEN {both('^[0-9]{1,18}$')} THEN {axis(a, b, 0, RANGE_CAP, 'string(n)')} WHEN {both('^[0-9]{1,37}$')} THEN {far} WHEN (upper({a}) = {a}) <> (upper({b}) = {b}) THEN NULL "
+        f"WHEN {both('^[ivxlcdmIVXLCDM]+$')} THEN CASE WHEN length({a}) > 1 OR length({b}) > 1 THEN {axis(roman_sql(a), roman_sql(b), 1, RANGE_CAP, cased(to_roman_sql('n')))} END "
+        f"WHEN {both('^[A-Za-z]$')} THEN {axis(f'ascii(lower({a}))', f'ascii(lower({b}))', 0, LETTER_CAP, cased('char(n)'))} END"
+    )
 
 
 def enumerate_tokens(start: Column, end: Column) -> Column:
@@ -145,37 +161,7 @@ def enumerate_tokens(start: Column, end: Column) -> Column:
     digits.  Ends of mixed case share no axis.  Case is kept.  Digits beyond a long are counted as decimals,
     and labels of over 37 digits are never expanded.
     """
-
-    def members(x: Column) -> Column:
-        a, b = x["a"], x["b"]
-        both = lambda rx: a.rlike(rx) & b.rlike(rx)
-        romans = both("(?i)^[ivxlcdm]+$")
-        axis = (
-            F.when(both(r"^\d{1,18}$"), "digits")
-            .when(both(r"^\d{1,37}$"), "decimals")
-            .when((F.upper(a) == a) != (F.upper(b) == b), None)
-            .when(romans, F.when((F.char_length(a) > 1) | (F.char_length(b) > 1), "romans"))
-            .when(both("^[A-Za-z]$"), "letters")
-        )
-        kinds = {
-            "digits": (lambda c: c.try_cast("long"), lambda n: n.cast("string"), 0, RANGE_CAP),
-            "romans": (lambda c: roman_value(c).cast("long"), lambda n: int_to_roman(n.cast("int")), 1, RANGE_CAP),
-            "letters": (lambda c: F.ascii(F.lower(c)).cast("long"), F.char, 0, LETTER_CAP),
-        }
-
-        def listed(kind: str) -> Column:
-            value, label, least, most = kinds[kind]
-            fits = lambda v: F.when((v["z"] - v["y"]).between(least, most), F.sequence(v["y"], F.greatest(v["y"], v["z"])))
-            names = F.transform(bind(F.struct(value(a).alias("y"), value(b).alias("z")), fits), label)
-            return names if kind == "digits" else F.when(F.upper(a) == a, F.transform(names, F.upper)).otherwise(names)
-
-        decimal = lambda c: c.try_cast("decimal(38,0)")
-        gap = decimal(b) - decimal(a)
-        far = F.when(gap.between(0, RANGE_CAP), F.transform(F.sequence(F.lit(0), gap.try_cast("int")), lambda i: (decimal(a) + i).cast("decimal(38,0)").cast("string")))
-        out = lambda k: F.when(k == "decimals", far).when(k == "digits", listed("digits")).when(k == "romans", listed("romans")).when(k == "letters", listed("letters"))
-        return bind(axis, out)
-
-    return bind(F.struct(start.alias("a"), end.alias("b")), members)
+    return bind_sql(members_sql("r.a", "r.b"), a=start, b=end)
 
 
 def sort_key(target: Column) -> Column:

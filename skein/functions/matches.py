@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skein.functions.text import bind
+from skein.functions.text import bind_sql
 
 _OUT = "array<struct<start:int,end:int,match:string>>"
 #: Marks in front of and behind a match; where a text holds them itself, another control character stands in.
@@ -21,23 +21,13 @@ def finditer(text: Column, pattern: str) -> Column:
 
     The pattern may hold groups and look-around; groups are read again from ``match`` by the caller.
     """
-    none = F.expr(f"cast(array() as {_OUT})")
-
-    def places(t: Column, marked: Column) -> Column:
-        def step(acc: Column, part: Column) -> Column:
-            # a part is a match, its end mark and the gap behind it
-            size = F.instr(part, _CLOSE) - 1
-            end = acc["at"] + size
-            one = F.struct(acc["at"].alias("start"), end.alias("end"), F.substring(t, acc["at"] + 1, size).alias("match"))
-            return F.struct((acc["at"] + F.char_length(part) - 1).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-        parts = F.split(marked, _OPEN, -1)
-        first = F.struct(F.char_length(F.get(parts, F.lit(0))).alias("at"), none.alias("out"))
-        return F.aggregate(F.slice(parts, 2, 1 << 30), first, step, lambda a: a["out"])
-
-    def found(t: Column) -> Column:
-        own = F.when(F.contains(t, F.lit(_OPEN)) | F.contains(t, F.lit(_CLOSE)), F.translate(t, _OPEN + _CLOSE, _OTHER * 2)).otherwise(t)
-        marked = F.regexp_replace(own, f"(?:{pattern})" if not pattern.startswith("(?i)") else f"(?i)(?:{pattern[4:]})", f"{_OPEN}$0{_CLOSE}")
-        return bind(marked, lambda m: F.when(F.contains(m, F.lit(_OPEN)), places(t, m)).otherwise(none))
-
-    return F.coalesce(bind(text, found), none)
+    own = F.when(F.contains(text, F.lit(_OPEN)) | F.contains(text, F.lit(_CLOSE)), F.translate(text, _OPEN + _CLOSE, _OTHER * 2)).otherwise(text)
+    flag, body = ("(?i)", pattern[4:]) if pattern.startswith("(?i)") else ("", pattern)
+    marked = F.regexp_replace(own, f"{flag}(?:{body})", f"{_OPEN}$0{_CLOSE}")
+    # a part behind a mark is a match, its end mark and the gap after it
+    size = "instr(part, char(2)) - 1"
+    one = f"struct(a.pos AS start, a.pos + {size} AS end, substr(r.t, a.pos + 1, {size}) AS match)"
+    step = f"(a, part) -> struct(a.pos + length(part) - 1 AS pos, array_append(a.out, {one}) AS out)"
+    parts = "split(r.m, char(1))"
+    places = f"aggregate(slice({parts}, 2, 1000000000), struct(length(get({parts}, 0)) AS pos, cast(array() AS {_OUT}) AS out), {step}, a -> a.out)"
+    return bind_sql(f"IF(contains(r.m, char(1)), {places}, cast(array() AS {_OUT}))", t=text, m=marked)

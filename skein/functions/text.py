@@ -20,6 +20,12 @@ def bind(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+def bind_sql(body: str, **values: Column) -> Column:
+    """A SQL expression over ``r.<name>`` with every value computed once; far fewer calls to build than ``bind``."""
+    row = F.struct(*[v.alias(k) for k, v in values.items()])
+    return F.get(F.call_function("transform", F.array(row), F.expr(f"r -> {body}")), F.lit(0))
+
+
 def norm(c: Column) -> Column:
     """Runs of white space become one space; ends trimmed; null is ''."""
     return F.trim(F.regexp_replace(text_of(c), WS + "+", " "))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.citation import alternate_number, grammar_ok, norm_citation, section_root, sort_key, split_alternate, strip_agency
 from skein.functions.external import parse_external
-from skein.functions.text import text_of
+from skein.functions.text import bind, text_of
 
 #: An address map up to this many rows is broadcast; a larger one is joined by key.
 BROADCAST_ADDRESSES = 1_000_000
@@ -57,15 +57,28 @@ def status_of(parser: Column, kind: Column, llm: Column) -> Column:
     return F.when(parser & llm, "corroborated").when(parser & (kind == "explicit"), "parser_explicit").when(parser, "parser_inferred").otherwise("llm_only")
 
 
+def _normal(df: DataFrame, target: Column, alternate: Column, **rest: Column) -> DataFrame:
+    """Rows (unit, target, alternate, ...) under the normal form of their target; empty ones and the unit itself go.
+
+    One outer generator computes each row once: a filter on computed columns would be pushed down and compute
+    them again in front of every exchange.
+    """
+    own = norm_citation(strip_agency(F.col("unit")))
+    row = lambda x: F.struct(x["t"].alias("target"), alternate_number(alternate).alias("alternate"), *[c.alias(n) for n, c in rest.items()])
+    both = F.struct(norm_citation(target).alias("t"), own.alias("own"))
+    kept = bind(both, lambda x: F.when((x["t"] != "") & (x["t"] != x["own"]), F.array(row(x))))
+    return df.select("unit", F.inline_outer(kept)).where("target is not null")
+
+
 def parser_internal(edges: DataFrame) -> DataFrame:
     """Parser edges (unit, pos, target, alternate, confidence, evidence) under their normal form, first wins."""
-    e = edges.select("unit", norm_citation(F.col("target")).alias("target"), alternate_number(F.col("alternate")).alias("alternate"), "pos", F.coalesce("confidence", F.lit("inferred")).alias("kind"), text_of(F.col("evidence")).alias("evidence"))
-    return first_wins(e.where(t_ok()), ["unit", "target", "alternate"], ["pos"])
+    e = _normal(edges, F.col("target"), F.col("alternate"), pos=F.col("pos"), kind=F.coalesce("confidence", F.lit("inferred")), evidence=text_of(F.col("evidence")))
+    return first_wins(e, ["unit", "target", "alternate"], ["pos"])
 
 
-def t_ok() -> Column:
-    """Targets that are not empty and not the unit itself."""
-    return (F.col("target") != "") & (F.col("target") != norm_citation(strip_agency(F.col("unit"))))
+def without_self(edges: DataFrame) -> DataFrame:
+    """edges (unit, target, ...) to something else than the unit itself, all columns kept."""
+    return edges.where((F.col("target") != "") & (F.col("target") != norm_citation(strip_agency(F.col("unit")))))
 
 
 def finder_internal(findings: DataFrame) -> DataFrame:
@@ -73,10 +86,9 @@ def finder_internal(findings: DataFrame) -> DataFrame:
     f = findings.where((text_of(F.col("scope")) != "external") & (text_of(F.col("target")) != ""))
     named = F.lower("target").contains("alternate")
     parts = split_alternate(F.col("target"))
-    base = F.when(named, parts["base"]).otherwise(F.col("target"))
     own = F.when(text_of(F.col("alternate")) != "", F.col("alternate")).when(named, parts["alternate"])
-    e = f.select("unit", norm_citation(base).alias("target"), alternate_number(own).alias("alternate"), "pos", text_of(F.col("evidence")).alias("evidence"))
-    return first_wins(e.where(t_ok()), ["unit", "target", "alternate"], ["pos"])
+    e = _normal(f, F.when(named, parts["base"]).otherwise(F.col("target")), own, pos=F.col("pos"), evidence=text_of(F.col("evidence")))
+    return first_wins(e, ["unit", "target", "alternate"], ["pos"])
 
 
 def reconcile_internal(parser: DataFrame, finder: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -95,8 +107,9 @@ def reconcile_external(parser: DataFrame, findings: DataFrame) -> DataFrame:
     key = ["unit", "target", "locator"]
     about = ["ref_type", "node_label", "href", "citation", "division_levels"]
     p = first_wins(parser.select(*key, *about, "pos", text_of(F.col("evidence")).alias("evidence")), key, ["pos"]).select(*key, F.struct(*about).alias("_p"), F.struct(F.lit("explicit").alias("kind"), "evidence").alias("parser"))
-    f = findings.where((F.col("scope") == "external") & (text_of(F.col("target")) != "")).select("unit", "pos", text_of(F.col("evidence")).alias("evidence"), parse_external(F.col("target")).alias("r")).where("r is not null")
-    f = f.select("unit", "r.target", "r.locator", "r.ref_type", "r.node_label", F.lit("").alias("href"), "r.citation", "r.division_levels", "pos", "evidence")
+    f = findings.where((F.col("scope") == "external") & (text_of(F.col("target")) != ""))
+    known = bind(parse_external(F.col("target")), lambda r: F.when(r.isNotNull(), F.array(r)))  # an outer generator: parsed once
+    f = f.select("unit", "pos", text_of(F.col("evidence")).alias("evidence"), F.inline_outer(known)).where("target is not null").withColumn("href", F.lit(""))
     f = first_wins(f, key, ["pos"]).select(*key, F.struct(*about).alias("_f"), F.struct("evidence").alias("llm"))
     both = p.join(f, key, "full").withColumn("_s", F.coalesce("_p", "_f"))
     status = F.when(F.col("parser").isNotNull() & F.col("llm").isNotNull(), "corroborated").when(F.col("parser").isNotNull(), "parser_explicit").otherwise("llm_only")

@@ -10,15 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.citation import NUMBER, RANGE_CAP, alternate_number, enumerate_tokens, href_to_citation
+from skein.functions.citation import NUMBER, RANGE_CAP, alternate_number, href_to_citation, members_sql
 from skein.functions.external import KINDS, REF, Kind, build, parse_external, parse_form
 from skein.functions.matches import finditer
-from skein.functions.text import bind, norm, text_of, window
+from skein.functions.text import bind, bind_sql, norm, text_of, window
 
 # Evidence before and after, qualifier reach, search for a range's base, alternate reach.
 BEFORE, AFTER, QUALIFIER, BASE, ALTERNATE = 90, 75, 40, 120, 250
 _SEP = r"(?:through|thru|to|–|—|-)"
 _LABELS = r"(?:\([A-Za-z0-9]+\))+"
+#: Something every range has: a separator behind a label or a digit.
+_HINT = rf"(?i)[)\d]\s*{_SEP}\s*[(\d]"
 RANGE_PAREN = rf"(?i)(?:{NUMBER})?\s*{_LABELS}\s*{_SEP}\s*(?:{NUMBER})?\s*{_LABELS}"
 _PAREN_PARTS = rf"(?i)^({NUMBER})?\s*({_LABELS})\s*{_SEP}\s*({NUMBER})?\s*({_LABELS})$"
 RANGE_DASH = r"(?i)(\d+\.\d+)-\d+\s*(?:through|thru|to|–|—|\s-\s)\s*(?:\1-)?\d+(?!\.\d)"
@@ -76,9 +78,9 @@ def explicit_mentions(t: Column, anchors: Column, prefix: str) -> Column:
 
 
 def _mentions(targets: Column, evidence: Column) -> Column:
-    """A mention of each target, all with one evidence."""
-    one = lambda e: F.transform(targets, lambda x: F.struct(x.alias("target"), F.lit("").alias("alternate"), F.lit("inferred").alias("kind"), e.alias("evidence")))
-    return bind(evidence, one)
+    """A mention of each target, all with one evidence; none without targets."""
+    one = "struct(y AS target, '' AS alternate, 'inferred' AS kind, r.e AS evidence)"
+    return bind_sql(f"transform(r.x, y -> {one})", x=F.coalesce(targets, F.expr("cast(array() as array<string>)")), e=evidence)
 
 
 def _parts(match: Column, pattern: str, n: int) -> Column:
@@ -91,23 +93,19 @@ def range_targets(x: Column, base: Column) -> Column:
 
     The labels before the last are a prefix that both ends share.
     """
-    groups = lambda c: F.regexp_extract_all(c, F.lit(r"\(([A-Za-z0-9]+)\)"), F.lit(1))
-    part = lambda i: F.get(x, F.lit(i))
-
-    def named(e: Column) -> Column:
-        fixed, over = F.slice(e["left"], 1, F.size(e["left"]) - 1), F.slice(e["right"], 1, F.size(e["right"]) - 1)
-        members = F.when((F.size(over) == 0) | (over == fixed), enumerate_tokens(F.element_at(e["left"], -1), F.element_at(e["right"], -1)))
-        head = F.concat(base, F.array_join(F.transform(fixed, lambda y: F.concat(F.lit("("), y, F.lit(")"))), ""))
-        return bind(head, lambda h: F.transform(members, lambda y: F.concat(h, F.lit("("), y, F.lit(")"))))
-
-    return bind(F.struct(groups(part(1)).alias("left"), groups(part(3)).alias("right")), named)
+    labels = r"regexp_extract_all({}, '\\(([A-Za-z0-9]+)\\)', 1)".format
+    ends = f"struct({labels('r.x[1]')} AS l, {labels('r.x[3]')} AS r)"
+    fixed = lambda side: f"slice({side}, 1, size({side}) - 1)"
+    head = f"concat(r.base, array_join(transform({fixed('e.l')}, y -> concat('(', y, ')')), ''))"
+    members = members_sql("m.a", "m.b")
+    named = f"get(transform(array(struct({head} AS h, element_at(e.l, -1) AS a, element_at(e.r, -1) AS b)), m -> transform({members}, y -> concat(m.h, '(', y, ')'))), 0)"
+    return bind_sql(f"get(transform(array({ends}), e -> CASE WHEN size(e.r) = 1 OR {fixed('e.r')} = {fixed('e.l')} THEN {named} END), 0)", x=x, base=base)
 
 
 def dash_targets(x: Column, least: int) -> Column:
     """Members of a dashed range from its parts (number, first, last); null if too long or falling."""
-    ends = F.struct(F.get(x, F.lit(1)).try_cast("long").alias("a"), F.get(x, F.lit(2)).try_cast("long").alias("b"))
-    fits = lambda e: F.when((e["b"] - e["a"]).between(least, RANGE_CAP), F.sequence(e["a"], F.greatest(e["a"], e["b"])))
-    return F.transform(bind(ends, fits), lambda n: F.concat(F.get(x, F.lit(0)), F.lit("-"), n.cast("string")))
+    ends = "struct(try_cast(r.x[1] AS bigint) AS lo, try_cast(r.x[2] AS bigint) AS hi)"
+    return bind_sql(f"get(transform(array({ends}), e -> CASE WHEN e.hi - e.lo BETWEEN {least} AND {RANGE_CAP} THEN transform(sequence(e.lo, e.hi), n -> concat(r.x[0], '-', n)) END), 0)", x=x)
 
 
 def range_mentions(t: Column, number: Column) -> Column:
@@ -115,8 +113,7 @@ def range_mentions(t: Column, number: Column) -> Column:
     none = F.expr(f"cast(array() as {MENTION})")
 
     def spread(pattern: str, targets):  # noqa: ANN001, ANN202
-        hits = F.transform(finditer(t, pattern), lambda m: bind(targets(m), lambda x: F.when(x.isNotNull(), _mentions(x, _around(t, m["start"], m["end"]))).otherwise(none)))
-        return F.flatten(hits)
+        return F.flatten(F.transform(finditer(t, pattern), lambda m: _mentions(targets(m), _around(t, m["start"], m["end"]))))
 
     def paren(m: Column) -> Column:
         before = F.regexp_extract_all(_piece(t, F.greatest(m["start"] - BASE, F.lit(0)), m["start"]), F.lit(f"({NUMBER})"), F.lit(1))
@@ -124,7 +121,7 @@ def range_mentions(t: Column, number: Column) -> Column:
         return bind(_parts(m["match"], _PAREN_PARTS, 4), lambda x: range_targets(x, F.coalesce(own(x, 0), own(x, 2), F.try_element_at(before, F.lit(-1)), number)))
 
     dash = lambda m: bind(_parts(m["match"], _DASH_PARTS, 3), lambda x: dash_targets(x, 1))
-    return F.concat(spread(RANGE_PAREN, paren), spread(RANGE_DASH, dash))
+    return F.when(t.rlike(_HINT), F.concat(spread(RANGE_PAREN, paren), spread(RANGE_DASH, dash))).otherwise(none)
 
 
 def expand_typed(raw: Column, base: Column) -> Column:
@@ -211,12 +208,17 @@ def group_external(mentions: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
+def mention_rows(df: DataFrame, key: list[str], mentions: Column) -> DataFrame:
+    """(key, pos, m): a row a mention.  An outer generator: for an inner one the engine would compute the mentions twice."""
+    return df.select(*key, F.posexplode_outer(mentions).alias("pos", "m")).where("pos is not null")
+
+
 def internal_edges(chunks: DataFrame, prefix: str, key: str = "chunk_id") -> DataFrame:
     """Edges of chunks (key, number, scope_text, anchors)."""
-    m = chunks.select(key, F.posexplode(internal_mentions(F.col("scope_text"), F.col("anchors"), F.col("number"), prefix)).alias("pos", "m")).select(key, "pos", "m.*")
+    m = mention_rows(chunks, [key], internal_mentions(F.col("scope_text"), F.col("anchors"), F.col("number"), prefix)).select(key, "pos", "m.*")
     return group_internal(m, [key])
 
 
 def external_edges(chunks: DataFrame, key: str = "chunk_id") -> DataFrame:
-    m = chunks.select(key, F.posexplode(external_mentions(F.col("scope_text"), F.col("anchors"))).alias("pos", "m")).select(key, "pos", "m.*")
+    m = mention_rows(chunks, [key], external_mentions(F.col("scope_text"), F.col("anchors"))).select(key, "pos", "m.*")
     return group_external(m, [key])

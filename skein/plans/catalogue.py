@@ -188,7 +188,8 @@ def _(t):
     k = F.col("o_orderkey")
     base = F.concat(_s(k % 53 + 1), F.lit("."), _s(k % 900 + 100))
     text = F.concat(F.lit("as required by "), base, F.lit("(a)("), _s(k % 5), F.lit(") through (a)("), _s(k % 5 + k % 6), F.lit(") of this chapter"))
-    return dealt(t("orders")).select("o_orderkey", F.explode(refs.range_mentions(text, F.lit("1.100"))).alias("m")).select("o_orderkey", "m.target")
+    scopes = dealt(t("orders")).select("o_orderkey", text.alias("scope_text"))
+    return refs.mention_rows(scopes, ["o_orderkey"], refs.range_mentions(F.col("scope_text"), F.lit("1.100"))).select("o_orderkey", "m.target")
 
 
 @query(
@@ -199,14 +200,16 @@ def _(t):
     k = F.col("o_orderkey")
     base = F.concat(_s(k % 53 + 1), F.lit("."), _s(k % 900 + 100))
     text = F.concat(F.lit("see "), base, F.lit("-"), _s(k % 5 + 1), F.lit(" through "), base, F.lit("-"), _s(k % 5 + k % 6 + 2), F.lit(" here"))
-    return dealt(t("orders")).select("o_orderkey", F.explode(refs.range_mentions(text, F.lit("1.100"))).alias("m")).select("o_orderkey", "m.target")
+    scopes = dealt(t("orders")).select("o_orderkey", text.alias("scope_text"))
+    return refs.mention_rows(scopes, ["o_orderkey"], refs.range_mentions(F.col("scope_text"), F.lit("1.100"))).select("o_orderkey", "m.target")
 
 
 @query("self_paragraph", "select o_orderkey, '5.201(' || chr(97 + (o_orderkey % 26)::integer) || ')(' || (o_orderkey % 9) || ')' as target from orders")
 def _(t):
     k = F.col("o_orderkey")
     text = F.concat(F.lit("under paragraphs ("), F.char(k % 26 + 97), F.lit(")("), _s(k % 9), F.lit(") of this section, Paragraph (x) of this section"))
-    return t("orders").select("o_orderkey", F.explode(refs.self_mentions(text, F.lit("5.201"))).alias("m")).select("o_orderkey", "m.target")
+    scopes = dealt(t("orders")).select("o_orderkey", text.alias("scope_text"))
+    return refs.mention_rows(scopes, ["o_orderkey"], refs.self_mentions(F.col("scope_text"), F.lit("5.201"))).select("o_orderkey", "m.target")
 
 
 # ------------------------------------------------------------------ windows and links
@@ -300,7 +303,7 @@ def _(t):
     k = F.col("c_custkey")
     text = F.concat(F.lit("Authority: "), _s(k % 50 + 1), F.lit(" U.S.C. "), _s(k % 900), F.lit("; see also E.O. "), _s(k % 9999), F.lit(" thereon."))
     m = refs.external_mentions(text, F.expr("cast(array() as array<struct<href:string,scope:string,start:int,end:int>>)"))
-    return t("customer").select("c_custkey", F.explode(m).alias("m")).select("c_custkey", "m.ref.citation", "m.ref.ref_type")
+    return t("customer").select("c_custkey", F.explode_outer(m).alias("m")).where("m is not null").select("c_custkey", "m.ref.citation", "m.ref.ref_type")
 
 
 @query("form_patterns", "select p_partkey, case p_partkey % 3 when 0 then 'form:SF-' when 1 then 'form:DD-' else 'form:OF-' end || (p_partkey % 400) as target from part")
@@ -380,7 +383,7 @@ def _(t):
 
 @query("self_reference_filter", f"select 'REG-' || {_cite_sql('l_orderkey % 5000')} as unit, count(*) as kept from lineitem where {_cite_sql('l_orderkey % 5000')} <> {_cite_sql('l_partkey')} group by 1")
 def _(t):
-    return _sides(t)[0].where(rc.t_ok()).groupBy("unit").agg(F.count("*").alias("kept"))
+    return rc.without_self(_sides(t)[0]).groupBy("unit").agg(F.count("*").alias("kept"))
 
 
 @query("auto_decisions_union", f"with {_LEDGER} select unit, target, status, 'accept' as choice, 'auto' as \"by\" from ledger where status = 'llm_only'")
@@ -410,7 +413,7 @@ def _ext_sides(t) -> tuple[DataFrame, DataFrame]:
     unit = F.concat(F.lit("REG-"), _s(F.col("l_orderkey") % 3000)).alias("unit")
     place = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos")
     usc = lambda n: F.concat(_s(n % 50 + 1), F.lit(" U.S.C. "), _s(n % 90 + 1))
-    p = li.select(unit, place, ex.parse_external(usc(F.col("l_partkey"))).alias("r"), _s("l_partkey").alias("evidence")).select("unit", "pos", "r.*", F.lit("").alias("href"), "evidence")
+    p = li.select(unit, place, _s("l_partkey").alias("evidence"), F.inline_outer(F.array(ex.parse_external(usc(F.col("l_partkey")))))).withColumn("href", F.lit(""))
     raw = F.when(F.col("l_suppkey") % 4 == 0, "the Acme Act").otherwise(usc(F.col("l_suppkey")))
     f = li.select(unit, place, raw.alias("target"), _s("l_suppkey").alias("evidence"), F.lit("external").alias("scope"), F.lit("").alias("alternate"))
     return p, f

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable:
 def dealt(df: DataFrame) -> DataFrame:
     """A scanned table of fewer partitions than cores is dealt out before heavy expressions; a larger one stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df._jdf.rdd().getNumPartitions() < cores else df
 
 
 def s(c: Column | str | int) -> Column:

@@ -300,7 +300,7 @@ def _(t):
 def _(t):
     k = F.col("o_orderkey")
     raw = said(" 5.202(a)(2) , (a)(3) to (a)(4),,6.302-", k % 9 + 1, "-", k % 9 + 1, ", see ", k)
-    return dealt(t("orders")).select("o_orderkey", F.posexplode(refs.expand_typed(raw, said("7.", k % 900 + 100))).alias("pos", "target"))
+    return refs.mention_rows(dealt(t("orders")), ["o_orderkey"], refs.expand_typed(raw, said("7.", k % 900 + 100))).withColumnRenamed("m", "target")
 
 
 @query("range_long_labels", "select o_orderkey, '5.201(' || (99999999999999999990::hugeint + o_orderkey % 9 + unnest(range(0, 3))::hugeint) || ')' as target from orders")
@@ -308,7 +308,8 @@ def _(t):
     k = F.col("o_orderkey")
     a = (F.lit("99999999999999999990").cast("decimal(38,0)") + k % 9).cast("decimal(38,0)")
     text = said("5.201(", a, ") through (", (a + 2).cast("decimal(38,0)"), ") and 1.100(", F.lpad(_s(k), 40, "9"), ") to (", F.lpad(_s(k), 41, "9"), ")")
-    return dealt(t("orders")).select("o_orderkey", F.explode(refs.range_mentions(text, F.lit("1.100"))).alias("m")).select("o_orderkey", "m.target")
+    scopes = dealt(t("orders")).select("o_orderkey", text.alias("scope_text"))
+    return refs.mention_rows(scopes, ["o_orderkey"], refs.range_mentions(F.col("scope_text"), F.lit("1.100"))).select("o_orderkey", "m.target")
 
 
 # ------------------------------------------------------------------ ledgers
