@@ -1,14 +1,14 @@
 """Secret scan with DataFrame and SQL functions only.
 
 Base patterns find assignments, access keys and long hex runs.  Beside them, every long run of key
-characters is scored by two character Markov chains - one of random strings, one of ordinary
-identifiers - and flagged when the mean log-likelihood ratio of its transitions says "random".  Both
+characters, and every long piece of letters and digits in a run that is not flagged as a whole, is scored
+by two character Markov chains - one of random strings, one of ordinary identifiers - and flagged when the
+mean log-likelihood ratio of its transitions says "random".  Both
 chains are trained from labelled samples of the corpus itself: the secrets that the base patterns
 find, and the long runs of key characters in texts where they find none.  Counts are made by
 ``groupBy``; only the table of transitions, bounded by the square of the alphabet, reaches the driver.
 
-Offsets: Spark has no match positions, so ``regexp_extract_all`` yields the alternating gaps and
-matches of a pattern, and their running lengths (in code points) are the offsets.
+Spark has no match positions: ``skein.functions.matches`` finds them with expressions.
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skein.functions.matches import finditer
+from skein.functions.text import bind
+
 # The three base patterns, and the shortest match (of an assignment: value) that counts.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
 ASSIGN_HEAD = r"""^[A-Za-z_]+["']?\x20*[:=]\x20*["']?"""
@@ -31,6 +34,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE_MIN = 16
 CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE_MIN
+#: What separators leave of a run: a value behind a name, or beside a base span.
+PIECE = "[A-Za-z0-9+]{%d,}" % CANDIDATE_MIN
 #: Mean log-likelihood ratio of a transition (natural log) above which a candidate is a secret.
 RATIO = 0.3
 #: Added to every character's count, and the weight of character frequencies in a transition's estimate.
@@ -55,22 +60,9 @@ def _none() -> Column:
 
 
 def spans_of(text: Column, pattern: str, kind: str) -> Column:
-    """Leftmost non-overlapping matches as array<struct<s, k, e, v>>: start, kind's rank, end, match.
-
-    ``pattern`` holds no capturing group.  A text without a match is searched once.
-    """
-    cut = F.lit(rf"([\s\S]*?)(?:({pattern})|\z)")
-    rank = KINDS.index(kind)
-    steps = F.zip_with(F.regexp_extract_all(text, cut, F.lit(1)), F.regexp_extract_all(text, cut, F.lit(2)), lambda g, h: F.struct(g.alias("g"), h.alias("h")))
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.char_length(x["g"])
-        e = s + F.char_length(x["h"])
-        one = F.struct(s.alias("s"), F.lit(rank).alias("k"), e.alias("e"), x["h"].alias("v"))
-        return F.struct(e.alias("at"), F.when(x["h"] != "", F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
-
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), _none().alias("out")), step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), found).otherwise(_none())
+    """Leftmost non-overlapping matches as array<struct<s, k, e, v>>: start, kind's rank, end, match."""
+    rank = F.lit(KINDS.index(kind))
+    return F.transform(finditer(text, pattern), lambda m: F.struct(m["start"].alias("s"), rank.alias("k"), m["end"].alias("e"), m["match"].alias("v")))
 
 
 def _value(match: Column) -> Column:
@@ -112,8 +104,9 @@ def train(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
     t = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t")).select("_t", base_spans(F.col("_t")).alias("_b"))
     random = F.transform("_b", lambda x: F.when(x["k"] == 0, _value(x["v"])).otherwise(x["v"]))
     plain = F.regexp_extract_all("_t", F.lit(CANDIDATE), F.lit(0))
-    v = t.select((F.size("_b") > 0).cast("int").alias("y"), F.explode(F.when(F.size("_b") > 0, random).otherwise(plain)).alias("v"))
-    pairs = v.select("y", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("v") - 1, F.lit(1))), lambda i: F.substring(F.col("v"), i, F.lit(2)))).alias("p"))
+    # outer generators: for inner ones the engine would look for matches twice, to filter rows without any
+    v = t.select((F.size("_b") > 0).cast("int").alias("y"), F.explode_outer(F.when(F.size("_b") > 0, random).otherwise(plain)).alias("v"))
+    pairs = v.select("y", F.explode_outer(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("v") - 1, F.lit(1))), lambda i: F.substring(F.col("v"), i, F.lit(2)))).alias("p"))
     rows = pairs.where(F.col("p").rlike("^[A-Za-z0-9+/_=-]{2}$")).groupBy("y", "p").count().collect()  # 2 * 67^2 rows at most
     n = seeded_counts()
     seen = sum(r["count"] for r in rows if r["y"] == 1)
@@ -143,12 +136,23 @@ def mean_ratio(v: Column, model: dict[str, float]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), last), F.lit(0.0), lambda acc, i: acc + F.get(table, code(i) * len(ALPHABET) + code(i + 1))) / last
 
 
+def _apart(spans: Column, taken: Column) -> Column:
+    """The spans that touch none of those taken."""
+    return F.filter(spans, lambda c: ~F.exists(taken, lambda x: (x["s"] < c["e"]) & (c["s"] < x["e"])))
+
+
 def added_spans(text: Column, base: Column, model: dict[str, float], ratio: float = RATIO) -> Column:
-    """Candidates that look random and touch no base span."""
+    """Runs, and pieces of other runs, that look random and touch no base span."""
     if not model:
         return _none()
-    free = F.filter(spans_of(text, CANDIDATE, "markov"), lambda c: ~F.exists(base, lambda x: (x["s"] < c["e"]) & (c["s"] < x["e"])))
-    return F.filter(free, lambda c: mean_ratio(c["v"], model) > ratio)
+    random = lambda spans: F.filter(spans, lambda c: mean_ratio(c["v"], model) > ratio)
+
+    def both(runs: Column) -> Column:
+        whole = random(_apart(runs, base))
+        pieces = lambda w: F.concat(w, random(_apart(_apart(spans_of(text, PIECE, "markov"), base), w)))
+        return F.when(F.size(runs) > 0, bind(whole, pieces)).otherwise(_none())
+
+    return bind(spans_of(text, CANDIDATE, "markov"), both)
 
 
 def scan(docs: DataFrame, model: dict[str, float], text_col: str = "text", ratio: float = RATIO) -> DataFrame:
