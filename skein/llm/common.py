@@ -94,19 +94,23 @@ def release() -> None:
         pass
 
 
-#: Rows of an Arrow batch of texts or vectors; Spark's default is ten times as many.
-BATCH_ROWS = 1000
+#: Rows of an Arrow batch of texts or vectors, and its bytes; Spark's defaults are ten and eight times as many.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small: texts can be long, and a worker holds a batch several times over.
 
-    Lowers ``spark.sql.execution.arrow.maxRecordsPerBatch`` of the session to ``BATCH_ROWS`` if it is larger.
+    Lowers ``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch`` of the session to
+    ``BATCH_ROWS`` and ``BATCH_BYTES`` if they are larger.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
+    key = "spark.sql.execution.arrow.max{}PerBatch".format
+    now = int(spark.conf.get(key("Records"), "10000"))
     if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
+        spark.conf.set(key("Records"), BATCH_ROWS)
+    size = spark.conf.get(key("Bytes")).lower().removesuffix("b")
+    if not size.isdigit() or not 0 < int(size) <= BATCH_BYTES:  # written with a unit: larger, or as good as unset
+        spark.conf.set(key("Bytes"), str(BATCH_BYTES))
 
 
 # --------------------------------------------------------------------------- hashing

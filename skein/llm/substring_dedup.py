@@ -331,16 +331,18 @@ def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
     ids = touched.select(row)
     rest = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, row, "left_anti")
 
-    @F.pandas_udf("string")
-    def cut(texts, runs):  # noqa: ANN001, ANN202
+    @F.pandas_udf("string", F.PandasUDFType.SCALAR_ITER)
+    def cut(batches):  # noqa: ANN001, ANN202
         import pandas as pd
 
-        out = []
-        for text, r in zip(texts, runs, strict=True):
-            raw = (text or "").encode()
-            out.append(cut_out(raw, [_char_edges(raw, a, b) for a, b in merged(list(r))]).decode())
-        return pd.Series(out)
+        for texts, runs in batches:
+            out = []
+            for text, r in zip(texts, runs, strict=True):
+                raw = (text or "").encode()
+                out.append(cut_out(raw, [_char_edges(raw, a, b) for a, b in merged(list(r))]).decode())
+            yield pd.Series(out)
+        release()
 
     edited = semi(docs, touched, row, n).join(touched, row)
-    edited = edited.withColumn(text_col, F.when(F.col("_skein_whole"), F.lit("")).otherwise(cut(F.col(text_col), F.col("_skein_runs")))).select(*columns)
+    edited = edited.withColumn(text_col, cut(F.when(~F.col("_skein_whole"), F.col(text_col)), F.col("_skein_runs"))).select(*columns)
     return rest.select(*columns).unionByName(edited)
