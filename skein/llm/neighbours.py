@@ -209,6 +209,7 @@ def nearest(
     id.  Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null
     id, take no part; vectors are compared with those of their own length only.  Ties go to the smaller
     id; repeated rows count once.  Fewer than k candidates give fewer rows; an empty table gives none.
+    Other columns are read only if ``is_query`` names them, whatever their names.
     """
     if dims % 2:
         raise ValueError("dims must be even")
