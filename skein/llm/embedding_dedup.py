@@ -86,6 +86,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     precision is ``threshold`` or more.  Vectors that are null, empty, zero or hold null or non-finite
     components, or have a null label or id, link with nothing: no links, their own component, kept.
     Repeated rows count as other vectors with the same content.  An empty table gives an empty result.
+    Other columns are not read, whatever their names.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
