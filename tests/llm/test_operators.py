@@ -302,6 +302,15 @@ def test_near_duplicates_against_brute_force(spark, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_long_texts(spark):
+    a = [f"w{i * i % 9973}x{i}" for i in range(60_000)]
+    b = [*a[:30_000], "other", *a[30_001:]]
+    rows = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(a[::2])), (4, "short one"), (5, "Short  one"), (4, "short one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("key", "n", "bands", "rep", "component", "_id")}).repartition(2)
+    got = sorted((r.doc_id, r.class_id, r.kept) for r in minhash.near_duplicates(df).collect())
+    assert got == [(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True), (4, 4, True), (5, 4, False)]
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(2)
@@ -309,7 +318,8 @@ def vectors(spark):
     x[50:80] = x[50]
     rows = [(i, x[i].tolist(), i % 3) for i in range(400)]
     rows += [(400, None, 0), (401, [0.0] * 16, 0), (402, [float("nan")] * 16, 1), (403, [1.0, None] * 8, 1), (404, x[50].tolist(), None), (405, [], 1)]
-    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3), x
+    clash = {c: F.lit("clash") for c in ("v", "size", "cell", "rep", "query", "bound", "rank", "unit")}
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns(clash).repartition(3), x
 
 
 def test_neighbours(vectors, monkeypatch):
