@@ -151,6 +151,10 @@ def forest(a_ids: np.ndarray, b_ids: np.ndarray, hit: np.ndarray) -> np.ndarray:
     return edges[edges[:, 0] != edges[:, 1]]
 
 
+#: Edges of a file of a round's table, and files at least.
+FILE_EDGES, LEAST_FILES = 100_000, 12
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest reachable id of every vertex that has an edge: columns ``id``, ``component``.
 
@@ -167,13 +171,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .distinct()
     )
     e = materialize(e, "edges")
+    print_of = lambda d: tuple(d.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+    seen = print_of(e)
     while True:
+        files = max(LEAST_FILES, seen[0] // FILE_EDGES + 1)  # the edges get fewer from round to round
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(both.groupBy("u").agg(F.min("v").alias("m0")).select("u", F.least("u", "m0").alias("m")), "minima")
-        # in the joins below an edge (u, v) has v < u: turned round, v meets its minimum
-        large = e.select(F.col("v").alias("_v"), F.col("u").alias("_u")).join(low.select(F.col("u").alias("_v"), "m"), "_v").select(F.col("_u").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = materialize(large, "large")
-        low2 = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
+        low = both.groupBy("u").agg(F.min("v").alias("m0")).select("u", F.least("u", "m0").alias("m"))
+        low = materialize(low.coalesce(files), "minima")
+        # an edge (u, v) has v < u: its larger end moves to the minimum of its smaller one
+        large = e.join(low.select(F.col("u").alias("v"), "m"), "v").select("u", F.col("m").alias("v")).where("u <> v").distinct()
+        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low2, "u")
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
@@ -181,12 +188,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .where("u <> v")
             .distinct()
         )
-        new = materialize(small, "edges")
-        print_of = lambda d: d.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        same = tuple(print_of(new)) == tuple(print_of(e))
-        discard(e, low, large, low2)
+        new = materialize(small.coalesce(files), "edges")
+        was, seen = seen, print_of(new)
+        discard(e, low)
         e = new
-        if same:
+        if seen == was:
             break
     roots = e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
