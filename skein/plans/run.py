@@ -93,10 +93,12 @@ def counters(ledger: DataFrame, calls: int, canned: bool = False) -> DataFrame:
 
 def applied_counters(internal: DataFrame, external: DataFrame, built: Built) -> DataFrame:
     """Edges added by decisions, and edges that decisions took away."""
-    new = F.col("status").isin("auto_accepted", "human_approved")
-    both = internal.select("status").unionByName(external.select("status"))
-    had = built.internal.select(F.lit(1).alias("x")).unionByName(built.external.select(F.lit(1).alias("x"))).agg(F.count("*").alias("had"))
-    return both.agg(F.count_if(new).alias("added"), F.count_if(~new).alias("kept")).crossJoin(F.broadcast(had)).select("added", (F.col("had") - F.col("kept")).alias("removed"))  # one row each
+    new = F.col("status").isin("auto_accepted", "human_approved").cast("int")
+    flags = lambda d, added, kept, had: d.select(added.alias("added"), kept.alias("kept"), F.lit(had).alias("had"))
+    parts = [flags(d, new, 1 - new, 0) for d in (internal, external)] + [flags(d, F.lit(0), F.lit(0), 1) for d in (built.internal, built.external)]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return rows.agg(total("added").alias("added"), (total("had") - total("kept")).alias("removed"))
 
 
 def write_run(built: Built, out: str, changes: DataFrame | None = None, usage: DataFrame | None = None, missing: DataFrame | None = None, canned: bool = False) -> None:
